@@ -37,3 +37,13 @@ def assign_priority(weekly: DataFrame, client: str = "customer_id", items: str =
     label = (F.when(x <= qs[0], LABELS[0]).when(x <= qs[1], LABELS[1]).when(x <= qs[2], LABELS[2])
              .when(x <= qs[3], LABELS[3]).otherwise(LABELS[4]))
     return j.withColumn(out, label).drop(*[f"q{int(p * 100)}" for p in PROBS])
+
+
+def assign_global_priority(weekly: DataFrame, items: str = "weekly_items", out: str = "priority_global") -> DataFrame:
+    """Baseline label from the global quantiles only (every client treated as
+    having too few rows)."""
+    glob = weekly.select(F.percentile(F.col(items), F.array(*[F.lit(p) for p in PROBS]))).scalar()
+    x = F.col(items)
+    label = (F.when(x <= glob[0], LABELS[0]).when(x <= glob[1], LABELS[1]).when(x <= glob[2], LABELS[2])
+             .when(x <= glob[3], LABELS[3]).otherwise(LABELS[4]))
+    return weekly.withColumn(out, label)

@@ -82,3 +82,23 @@ def exact_quantiles(df: DataFrame, value: str, probs, by: list[str] | None = Non
     if by:
         return per.groupBy(*by).pivot("_name", names).agg(F.first("_q"))
     return per.groupBy().pivot("_name", names).agg(F.first("_q"))
+
+
+def global_cumsum(df: DataFrame, order_cols: list, weight: str, out: str = "_cum",
+                  num_partitions: int | None = None) -> DataFrame:
+    """Running total of ``weight`` in ``order_cols`` order (inclusive), with the
+    same range-partition + partition-offset scheme as ``global_row_number``;
+    the per-partition window is bounded by the range partition."""
+    n = num_partitions or _num_partitions(df)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    s = cut_lineage(s)
+    local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_local", F.sum(weight).over(local))
+    sizes = s.groupBy("_pid").agg(F.sum(weight).alias("_tot"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
+    return (s.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_local"))
+            .drop("_pid", "_mid", "_off", "_local"))

@@ -1 +1 @@
-"""Queries (filled in below)."""
+"""Queries."""

@@ -24,5 +24,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from kiln.plans import q_core, q_clean, q_windows, q_features, q_models, q_recsys, q_scoring  # noqa: F401
+    from kiln.plans import (q_core, q_clean, q_windows, q_features, q_metrics, q_models, q_recsys,  # noqa: F401
+                            q_scoring)
     from kiln.streaming import q_streaming  # noqa: F401
