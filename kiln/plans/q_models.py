@@ -1 +1,380 @@
-"""Queries."""
+"""Queries: models (K1–K7, K9–K11), calibration and curves (M8, M10, M13),
+tuning and explanation (N1–N10).  MLlib results are rows-only checks; the
+baselines, the trend line, rule statistics and drift have DuckDB oracles."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from kiln.operators import aggs, drift, explain, forecast, metrics, models
+from kiln.operators.clean import hash_sample
+from kiln.operators.splits import ordered_holdout, stratified_folds
+from kiln.plans.common import round_doubles, sql_round
+from kiln.plans.registry import register
+from kiln.plans.sqlparts import LABELLED_CTES, SQL_DAILY, with_ctes
+from kiln.plans.weekly import weekly_priority
+from kiln.session import scratch_path
+from kiln.sources import proxies
+
+NUMERIC = ["week", "size", "price", "acctbal"]
+CATEGORICAL = ["customer_type", "brand", "category"]
+IDS = ["customer_id", "product_id"]
+
+
+def priority_split(spark, d):
+    """Weekly labelled rows with the ordered 72/18/10 holdout."""
+    return ordered_holdout(weekly_priority(spark, d), ["week", "customer_id", "product_id"])
+
+
+def priority_prepared(spark, d):
+    data, pipe, classes = models.prepare(priority_split(spark, d), NUMERIC, CATEGORICAL, IDS, "priority")
+    return data.persist(), pipe, classes
+
+
+SQL_SPLIT = """sl AS (SELECT *, CASE WHEN pos >= n - ceil(n * CAST(0.1 AS DOUBLE)) THEN 'test'
+  WHEN pos >= (n - ceil(n * CAST(0.1 AS DOUBLE))) - ceil((n - ceil(n * CAST(0.1 AS DOUBLE))) * CAST(0.2 AS DOUBLE))
+  THEN 'val' ELSE 'train' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY week, customer_id, product_id) - 1 AS pos, count(*) OVER () AS n FROM lab))"""
+
+
+@register("k1_majority_baseline", sql_round(with_ctes(*LABELLED_CTES, SQL_SPLIT) + """
+, maj AS (SELECT priority AS m FROM sl WHERE split = 'train' GROUP BY priority ORDER BY count(*) DESC, priority LIMIT 1)
+SELECT split, (SELECT m FROM maj) AS majority, avg(CAST(priority = (SELECT m FROM maj) AS DOUBLE)) AS accuracy
+FROM sl GROUP BY split""", ["accuracy"]))
+def k1_majority_baseline(spark, d):
+    s = priority_split(spark, d)
+    m = aggs.group_mode(s.filter(F.col("split") == "train"), None, "priority", "m").select("m").scalar()
+    return round_doubles(s.groupBy("split").agg(F.first(m).alias("majority"),
+                                               F.avg((F.col("priority") == m).cast("double")).alias("accuracy")))
+
+
+@register("k1_mean_baseline", sql_round(with_ctes(*LABELLED_CTES, SQL_SPLIT) + """
+SELECT split, avg(abs(weekly_items - (SELECT avg(weekly_items) FROM sl WHERE split = 'train'))) AS mae
+FROM sl GROUP BY split""", ["mae"]))
+def k1_mean_baseline(spark, d):
+    s = priority_split(spark, d)
+    mean = s.filter(F.col("split") == "train").select(F.avg("weekly_items")).scalar()
+    return round_doubles(s.groupBy("split").agg(F.avg(F.abs(F.col("weekly_items") - mean)).alias("mae")))
+
+
+def _classifier_query(name):
+    def q(spark, d):
+        data, _, _ = priority_prepared(spark, d)
+        model = models.fit_classifier(name, data.filter(F.col("split") == "train"))
+        return models.evaluate(model, data)
+    return q
+
+
+for _id, _name in [("k2", "logistic_regression"), ("k3", "linear_svc"), ("k4", "decision_tree"),
+                   ("k5", "random_forest"), ("k6", "gradient_boosting")]:
+    register(f"{_id}_{_name}")(_classifier_query(_name))
+
+
+@register("k7_gbt_regression")
+def k7_gbt_regression(spark, d):
+    data, _, _ = priority_prepared(spark, d)
+    model = models.gbt_regressor(data.filter(F.col("split") == "train"), "weekly_items")
+    p = model.transform(data)
+    return p.groupBy("split").agg(F.avg(F.abs(F.col("weekly_items") - F.col("prediction"))).alias("mae"))
+
+
+SQL_TRAIN_T = """tt AS (SELECT y, CAST(datediff('day', (SELECT min(ds) FROM daily), ds) AS DOUBLE) AS t, ds FROM daily)"""
+
+
+@register("k9_linear_trend", sql_round(with_ctes(SQL_DAILY, SQL_TRAIN_T) + """
+SELECT regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept FROM tt WHERE ds <= DATE '2000-02-29'""",
+    ["slope", "intercept"], 4))
+def k9_linear_trend(spark, d):
+    s = proxies.daily_series(spark, d)
+    s = s.withColumn("t", F.datediff("ds", s.select(F.min("ds")).scalar()).cast("double"))
+    return round_doubles(forecast.trend_fit(s.filter(F.col("ds") <= F.lit("2000-02-29").cast("date")), "t", "y"), 4)
+
+
+@register("k10_seasonal_regression")
+def k10_seasonal_regression(spark, d):
+    s = proxies.daily_series(spark, d)
+    pred = forecast.additive_forecast(s, "2000-02-29", n_changepoints=0, yearly=5, weekly=0, reg=0.0)
+    return forecast.forecast_mae(pred).withColumn("model", F.lit("fourier_n5_p365"))
+
+
+@register("k11_additive_forecast")
+def k11_additive_forecast(spark, d):
+    s = proxies.daily_series(spark, d)
+    out = None
+    for name, kw in [("trend_seasonal", {}), ("with_regressor", {"regressors": ["x_orders"]}),
+                     ("with_lags", {"regressors": ["x_orders"], "lags": [1, 7]}),
+                     ("multiplicative", {"multiplicative": True})]:
+        m = forecast.forecast_mae(forecast.additive_forecast(s, "2000-02-29", **kw)).withColumn("variant", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("n1_grid_search")
+def n1_grid_search(spark, d):
+    s = proxies.daily_series(spark, d)
+    grid = [{"reg": r, "n_changepoints": c, "yearly": y} for r in (0.001, 0.01, 0.1, 1.0) for c in (5, 25, 50)
+            for y in (3, 5, 10)]
+    return forecast.grid_search(s, "2000-02-29", grid)
+
+
+def _als_frame(spark, d):
+    from kiln.operators.splits import hash_split
+    from pyspark.ml.feature import StringIndexer
+    r = proxies.ratings(spark, d)
+    r = r.withColumn("_k", F.concat_ws("|", F.col("user_id").cast("string"), "item_id"))
+    s = hash_split(r, "_k", [("test", 30), ("train", 70)])
+    idx = StringIndexer(inputCol="item_id", outputCol="item_ix").fit(s.filter(F.col("split") == "train"))
+    s = idx.transform(s.withColumn("user", F.col("user_id").cast("int")).select("*")) \
+        .withColumn("item", F.col("item_ix").cast("int"))
+    return s
+
+
+@register("k12_als_nonnegative")
+def k12_als_nonnegative(spark, d):
+    s = _als_frame(spark, d)
+    train = s.filter(F.col("split") == "train")
+    model = models.als(train, rank=20, nonnegative=True)
+    mean = train.select(F.avg("rating")).scalar()
+    p = model.transform(s.filter(F.col("split") == "test"))
+    p = p.withColumn("prediction", F.when(F.isnan("prediction"), mean).otherwise(F.col("prediction")))
+    return metrics.mae(p, "rating", "prediction").withColumn("model", F.lit("als_nonneg_rank20"))
+
+
+@register("k13_als_biased")
+def k13_als_biased(spark, d):
+    s = _als_frame(spark, d)
+    train = s.filter(F.col("split") == "train")
+    mu = train.select(F.avg("rating")).first()[0]  # one number, used inside aggregates
+    bu = train.groupBy("user").agg(F.avg(F.col("rating") - mu).alias("bu"))
+    bi = train.join(bu, "user").groupBy("item").agg(F.avg(F.col("rating") - mu - F.col("bu")).alias("bi"))
+    resid = (train.join(bu, "user").join(bi, "item")
+             .withColumn("resid", F.col("rating") - mu - F.col("bu") - F.col("bi")))
+    model = models.als(resid, rank=50, nonnegative=False, rating="resid", reg=0.1)
+    test = s.filter(F.col("split") == "test").join(bu, "user", "left").join(bi, "item", "left")
+    p = model.transform(test)
+    est = (mu + F.coalesce(F.col("bu"), F.lit(0.0)) + F.coalesce(F.col("bi"), F.lit(0.0))
+           + F.when(F.isnan("prediction"), 0.0).otherwise(F.col("prediction")))
+    p = p.withColumn("est", F.least(F.greatest(est, F.lit(1.0)), F.lit(5.0)))
+    return metrics.mae(p, "rating", "est").withColumn("model", F.lit("als_biased_rank50"))
+
+
+# ------------------------------------------------------ calibration, curves ----
+
+def _doc_features(spark, d):
+    docs = proxies.read_table(spark, d, "documents") if hasattr(proxies, "read_table") else None
+    from kiln.sources.tables import read_table
+    docs = read_table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source", "text")
+    lb = read_table(spark, d, "labels").select("doc_id", F.col("quality").alias("label").cast("double"))
+    f = docs.join(lb, "doc_id").select(
+        "doc_id", "label", F.log1p("n_chars").alias("log_chars"),
+        F.size(F.split("text", r"\s+")).cast("double").alias("n_words"),
+        (F.length(F.regexp_replace("text", r"[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1))).alias("digit_share"),
+        (F.col("lang") == "en").cast("double").alias("is_en"))
+    return models.assemble(f, ["log_chars", "n_words", "digit_share", "is_en"])
+
+
+@register("m8_platt_calibration")
+def m8_platt_calibration(spark, d):
+    f = stratified_folds(_doc_features(spark, d), "label", "doc_id", 5).persist()
+    oof = None
+    for k in range(5):
+        m = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(f.filter(F.col("fold") != k))
+        p = m.transform(f.filter(F.col("fold") == k)).select(
+            "doc_id", "label", "fold", vector_to_array("probability")[1].alias("score"))
+        oof = p if oof is None else oof.unionByName(p)
+    oof = models.assemble(oof.withColumn("logit", F.log(F.greatest(F.col("score"), F.lit(1e-6))
+                                                        / F.greatest(1 - F.col("score"), F.lit(1e-6)))), ["logit"])
+    cal = LogisticRegression(maxIter=50).fit(oof)
+    out = cal.transform(oof).withColumn("p_cal", vector_to_array("probability")[1])
+    return out.agg(F.avg(F.pow(F.col("score") - F.col("label"), 2)).alias("brier_raw"),
+                   F.avg(F.pow(F.col("p_cal") - F.col("label"), 2)).alias("brier_calibrated"))
+
+
+@register("m10_learning_curve")
+def m10_learning_curve(spark, d):
+    from kiln.operators.splits import hash_bucket
+    data, _, _ = priority_prepared(spark, d)
+    train = data.filter(F.col("split") == "train").withColumn("_b", hash_bucket(F.col("customer_id") * 1000003
+                                                                                 + F.col("product_id")))
+    val = data.filter(F.col("split") == "val")
+    out = None
+    for frac in (20, 40, 60, 80, 100):
+        m = DecisionTreeClassifier(maxDepth=8, seed=42).fit(train.filter(F.col("_b") < frac))
+        r = metrics.classification_summary(m.transform(val), "label", "prediction").select(
+            F.lit(frac).alias("train_pct"), "accuracy", "macro_f1")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("m13_leaderboard")
+def m13_leaderboard(spark, d):
+    data, _, _ = priority_prepared(spark, d)
+    return models.leaderboard(data, ["logistic_regression", "decision_tree", "random_forest"])
+
+
+# ------------------------------------------------------------ tuning, explain ----
+
+@register("n2_random_search")
+def n2_random_search(spark, d):
+    data, _, _ = priority_prepared(spark, d)
+    trials = explain.random_search_space({"numTrees": (10, 60), "maxDepth": (3, 10), "subsamplingRate": (0.5, 1.0)},
+                                         6)
+    runs = explain.run_trials(lambda **p: RandomForestClassifier(seed=42, **p), data.filter(F.col("split") == "train"),
+                              data.filter(F.col("split") == "val"), trials, scratch_path(spark, "runs"), "priority_rf")
+    return runs
+
+
+@register("n3_best_run")
+def n3_best_run(spark, d):
+    return explain.best_run(n2_random_search(spark, d))
+
+
+def _feature_names(data):
+    attrs = data.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    names = {}
+    for group in attrs.values():
+        for a in group:
+            names[a["idx"]] = a["name"]
+    return [names.get(i, f"f{i}") for i in range(len(names))]
+
+
+@register("n4_recursive_elimination")
+def n4_recursive_elimination(spark, d):
+    data, _, _ = priority_prepared(spark, d)
+    names = _feature_names(data)
+    kept, history = explain.recursive_elimination(lambda: RandomForestClassifier(numTrees=30, maxDepth=6, seed=42),
+                                                  data.filter(F.col("split") == "train"), names)
+    return spark.createDataFrame([(n,) for n in kept], "feature STRING")
+
+
+@register("n5_impurity_importance")
+def n5_impurity_importance(spark, d):
+    data, _, _ = priority_prepared(spark, d)
+    m = RandomForestClassifier(numTrees=50, maxDepth=8, seed=42).fit(data.filter(F.col("split") == "train"))
+    return explain.importances_frame(spark, m, _feature_names(data))
+
+
+_DOC_COLS = ["log_chars", "n_words", "digit_share", "is_en"]
+
+
+@register("n6_permutation_importance")
+def n6_permutation_importance(spark, d):
+    f = _doc_features(spark, d).drop("features").withColumnRenamed("doc_id", "_rid")
+    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(f, _DOC_COLS))
+
+    def assemble(df):
+        return models.assemble(df.drop("features", "probability", "rawPrediction", "prediction"), _DOC_COLS)
+
+    scored = lambda df: df
+    m = _ScoreWrap(model)
+    return explain.permutation_importance(m, f, _DOC_COLS, assemble, "score", "label", repeats=3)
+
+
+class _ScoreWrap:
+    """Model wrapper adding the positive-class probability as ``score``."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def transform(self, df):
+        return self.model.transform(df).withColumn("score", vector_to_array("probability")[1])
+
+
+@register("n7_shapley")
+def n7_shapley(spark, d):
+    f = _doc_features(spark, d).drop("features")
+    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(f, _DOC_COLS))
+
+    def predict(df):
+        return model.transform(models.assemble(df, _DOC_COLS)).withColumn("p", vector_to_array("probability")[1])
+
+    rows = hash_sample(f, "doc_id", 40)          # explained rows (sampling is the feature)
+    background = hash_sample(f.withColumn("_k", -F.col("doc_id")), "_k", 30)
+    return explain.shapley_mean_abs(predict, rows, background, _DOC_COLS, "doc_id", n_perm=8)
+
+
+@register("n8_partial_dependence")
+def n8_partial_dependence(spark, d):
+    f = _doc_features(spark, d).drop("features")
+    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(f, _DOC_COLS))
+
+    def predict(df):
+        return model.transform(models.assemble(df, _DOC_COLS)).withColumn("p", vector_to_array("probability")[1])
+
+    rows = hash_sample(f, "doc_id", 1000)
+    grid = [float(x) for x in range(2, 13)]
+    return explain.partial_dependence(predict, rows, "log_chars", grid)
+
+
+_RULE_SQL = "size > 25 AND customer_type = 'BUILDING'"
+
+
+@register("n9_rule_stats", sql_round(with_ctes(*LABELLED_CTES) + f"""
+SELECT count_if({_RULE_SQL}) / count(*) AS coverage,
+       count_if({_RULE_SQL} AND priority IN ('High', 'Very High')) / count_if({_RULE_SQL}) AS precision,
+       CAST(count_if({_RULE_SQL}) AS BIGINT) AS n_covered FROM lab""", ["coverage", "precision"]))
+def n9_rule_stats(spark, d):
+    lab = weekly_priority(spark, d)
+    rule = (F.col("size") > 25) & (F.col("customer_type") == "BUILDING")
+    return round_doubles(explain.rule_stats(lab, rule, F.col("priority").isin("High", "Very High")))
+
+
+@register("n9_greedy_rule")
+def n9_greedy_rule(spark, d):
+    lab = weekly_priority(spark, d)
+    cands = {f"size > {v}": F.col("size") > v for v in (10, 25, 40)}
+    cands.update({f"customer_type = {t}": F.col("customer_type") == t
+                  for t in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")})
+    cands.update({f"price > {v}": F.col("price") > v for v in (1000, 1500)})
+    target = F.col("priority").isin("High", "Very High")
+    chosen, rule = explain.greedy_rule(lab, target, cands)
+    return explain.rule_stats(lab, rule, target).withColumn("rule", F.lit(" AND ".join(chosen)))
+
+
+_P = ("(SELECT o_totalprice AS v FROM orders WHERE year(o_orderdate) = {y} AND o_totalprice IS NOT NULL)")
+
+
+@register("n10_psi", sql_round(f"""
+WITH a AS {_P.format(y=1996)}, b AS {_P.format(y=1999)}, r AS (SELECT min(v) AS lo, max(v) AS hi FROM a),
+u AS (SELECT v, 0 AS p FROM a UNION ALL SELECT v, 1 AS p FROM b),
+c AS (SELECT CAST(least(greatest(floor((v - lo) * 10 / (hi - lo)), 0), 9) AS INTEGER) AS bin,
+             count_if(p = 0) AS na, count_if(p = 1) AS nb FROM u, r GROUP BY 1)
+SELECT sum((greatest(nb / (SELECT count(*) FROM b), 1e-6) - greatest(na / (SELECT count(*) FROM a), 1e-6))
+       * ln(greatest(nb / (SELECT count(*) FROM b), 1e-6) / greatest(na / (SELECT count(*) FROM a), 1e-6))) AS psi
+FROM c""", ["psi"]))
+def n10_psi(spark, d):
+    from kiln.sources.tables import read_table
+    o = read_table(spark, d, "orders")
+    a, b = (o.filter(F.year("o_orderdate") == y) for y in (1996, 1999))
+    return round_doubles(drift.psi(a, b, "o_totalprice"))
+
+
+@register("n10_ks", sql_round(f"""
+WITH a AS {_P.format(y=1996)}, b AS {_P.format(y=1999)},
+per AS (SELECT v, count_if(p = 0) AS ca, count_if(p = 1) AS cb FROM (SELECT v, 0 AS p FROM a UNION ALL
+        SELECT v, 1 AS p FROM b) GROUP BY v)
+SELECT max(abs(fa / (SELECT count(*) FROM a) - fb / (SELECT count(*) FROM b))) AS ks FROM (
+  SELECT sum(ca) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fa,
+         sum(cb) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fb FROM per)""", ["ks"]))
+def n10_ks(spark, d):
+    from kiln.sources.tables import read_table
+    o = read_table(spark, d, "orders")
+    a, b = (o.filter(F.year("o_orderdate") == y) for y in (1996, 1999))
+    return round_doubles(drift.ks_statistic(a, b, "o_totalprice"))
+
+
+@register("n10_chi_square", sql_round("""
+WITH u AS (SELECT o_orderpriority AS c, CASE WHEN year(o_orderdate) = 1996 THEN 0 ELSE 1 END AS p FROM orders
+           WHERE year(o_orderdate) IN (1996, 1999) AND o_orderpriority IS NOT NULL),
+t AS (SELECT c, count_if(p = 0) AS oa, count_if(p = 1) AS ob FROM u GROUP BY c),
+n AS (SELECT count_if(p = 0) AS na, count_if(p = 1) AS nb FROM u)
+SELECT sum(pow(oa - (oa + ob) * na / (na + nb), 2) / ((oa + ob) * na / (na + nb))
+         + pow(ob - (oa + ob) * nb / (na + nb), 2) / ((oa + ob) * nb / (na + nb))) AS chi2,
+       count(*) - 1 AS dof FROM t, n""", ["chi2"]))
+def n10_chi_square(spark, d):
+    from kiln.sources.tables import read_table
+    o = read_table(spark, d, "orders")
+    a, b = (o.filter(F.year("o_orderdate") == y) for y in (1996, 1999))
+    return round_doubles(drift.chi_square(a, b, "o_orderpriority"))
