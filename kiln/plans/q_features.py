@@ -215,3 +215,26 @@ SELECT doc_id, quality, toxic, CAST((row_number() OVER (PARTITION BY quality ORD
   - 1) % 5 AS INTEGER) AS fold FROM labels""")
 def j6_stratified_folds(spark, d):
     return sp.stratified_folds(read_table(spark, d, "labels"), "quality", "doc_id", 5)
+
+
+@register("e6_positional_split", with_ctes(*WEEKLY_CTES[:4]) + """
+SELECT customer_id, week, product_id, weekly_items, CASE WHEN pos >= n - ceil(n * CAST(0.1 AS DOUBLE)) THEN 'test'
+  WHEN pos >= (n - ceil(n * CAST(0.1 AS DOUBLE))) - ceil((n - ceil(n * CAST(0.1 AS DOUBLE))) * CAST(0.2 AS DOUBLE))
+  THEN 'val' ELSE 'train' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY week, customer_id, product_id) - 1 AS pos, count(*) OVER () AS n FROM wf)""")
+def e6_positional_split(spark, d):
+    """E6 is the positional split of J1, computed by the distributed row numbering."""
+    return j1_ordered_holdout(spark, d)
+
+
+@register("i15_feature_pipeline")
+def i15_feature_pipeline(spark, d):
+    """The fitted I15 pipeline applied to every weekly row: the feature vector
+    as an array, next to the row keys and the split it was fitted on."""
+    from pyspark.ml.functions import vector_to_array
+    from kiln.operators.pipeline import feature_pipeline
+    from kiln.plans.q_models import CATEGORICAL, IDS, NUMERIC, priority_split
+    data = priority_split(spark, d)
+    model = feature_pipeline(NUMERIC, CATEGORICAL, IDS).fit(data.filter(F.col("split") == "train"))
+    return model.transform(data).select("customer_id", "week", "product_id", "split",
+                                        vector_to_array("features").alias("features"))
