@@ -120,23 +120,32 @@ def precision_recall_at_k(pred: DataFrame, user: str, est: str, true: str, ks, t
     recall = |rel ∩ rec| / |rel| (0 when a denominator is 0); then the mean
     over users, for every (k, t) of the grid.
 
-    Only the top max(k) rows per user survive a ``WindowGroupLimit``; each of
-    them is expanded over the fixed (k, t) grid, so the work is rows × grid,
-    never pairs of rows."""
-    ks, thresholds = list(ks), [float(t) for t in thresholds]
+    Only the top max(k) rows per user survive a ``WindowGroupLimit``.  Running
+    counts by rank (one array slot per threshold) give the counts within the
+    top k at the row of rank min(k, n_user), so each row is expanded only to the
+    k values it closes: the work is users × grid, never pairs of rows."""
+    ks, thresholds = sorted(set(ks)), [float(t) for t in thresholds]
     kmax = max(ks)
     order = [F.col(est).desc()] + ([F.col(item)] if item else [])
-    w = Window.partitionBy(user).orderBy(*order)
-    top = pred.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= kmax)
-    rel = pred.groupBy(user, ).agg(F.array(*[F.count_if(F.col(true) >= t) for t in thresholds]).alias("_rel"))
-    g = (top.select(user, "_rank", est, true, F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
-         .filter(F.col("_rank") <= F.col("k"))
-         .select(user, "k", est, true, F.posexplode(F.array(*[F.lit(t) for t in thresholds])).alias("_ti", "t")))
-    c = g.groupBy(user, "k", "_ti", "t").agg(
-        F.count_if(F.col(est) >= F.col("t")).alias("_rec"),
-        F.count_if((F.col(est) >= F.col("t")) & (F.col(true) >= F.col("t"))).alias("_hit"))
-    c = c.join(rel, user).withColumn("_rel", F.col("_rel")[F.col("_ti")])
-    prec = F.when(F.col("_rec") > 0, F.col("_hit") / F.col("_rec")).otherwise(0.0)
-    recall = F.when(F.col("_rel") > 0, F.col("_hit") / F.col("_rel")).otherwise(0.0)
-    return (c.groupBy("k", "t").agg(F.avg(prec).alias("precision_at_k"), F.avg(recall).alias("recall_at_k"))
-            .withColumnRenamed("t", "threshold"))
+    top = (pred.withColumn("_rank", F.row_number().over(Window.partitionBy(user).orderBy(*order)))
+           .filter(F.col("_rank") <= kmax))
+    ts = F.array(*[F.lit(t) for t in thresholds])
+    nt = len(thresholds)
+    top = top.withColumn("_rec", F.transform(ts, lambda t: (F.col(est) >= t).cast("int"))) \
+             .withColumn("_hit", F.transform(ts, lambda t: ((F.col(est) >= t) & (F.col(true) >= t)).cast("int")))
+    wr = Window.partitionBy(user).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
+    cum = top.select(user, "_rank", F.count(F.lit(1)).over(Window.partitionBy(user)).alias("_nu"),
+                     *[F.sum(F.col("_rec")[i]).over(wr).alias(f"_r{i}") for i in range(nt)],
+                     *[F.sum(F.col("_hit")[i]).over(wr).alias(f"_h{i}") for i in range(nt)])
+    r, nu = F.col("_rank"), F.col("_nu")
+    closes = F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: (k == r) | ((r == nu) & (k >= r)))
+    per = cum.select(user, F.explode(closes).alias("k"),
+                     F.arrays_zip(ts.alias("t"), F.array(*[F.col(f"_r{i}") for i in range(nt)]).alias("rec"),
+                                  F.array(*[F.col(f"_h{i}") for i in range(nt)]).alias("hit")).alias("_z"))
+    rel = pred.groupBy(user).agg(F.array(*[F.count_if(F.col(true) >= t) for t in thresholds]).alias("_rel"))
+    per = per.join(rel, user).select("k", F.posexplode("_z").alias("_ti", "_c"), "_rel")
+    rec, hit, nrel = F.col("_c.rec"), F.col("_c.hit"), F.col("_rel")[F.col("_ti")]
+    prec = F.when(rec > 0, hit / rec).otherwise(0.0)
+    recall = F.when(nrel > 0, hit / nrel).otherwise(0.0)
+    return (per.groupBy("k", F.col("_c.t").alias("threshold"))
+            .agg(F.avg(prec).alias("precision_at_k"), F.avg(recall).alias("recall_at_k")))
