@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from kiln.functions.dates import iso_week
-from kiln.plans.ordering import exact_quantiles
+from kiln.plans.ordering import exact_quantiles, exact_quantiles_multi
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
@@ -48,10 +48,11 @@ def weekly_rollup(tx: DataFrame, clients: DataFrame | None = None, products: Dat
 def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, exact 25/50/75 %, max per column, one row per column."""
     cols = cols or numeric_columns(df)
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
     stats = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+        q = qs.filter(F.col("column_name") == c)
         s = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                    F.min(x).alias("min"), F.max(x).alias("max"))
         stats.append(s.select(F.lit(c).alias("column_name"), "n", "mean", "std", "min",
@@ -96,8 +97,9 @@ def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Count and share per label value (``value_counts(normalize=True)``)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    return counts.withColumn("share", F.col("n") / total)
+    # one row per label value: a whole-table window over it is bounded by the
+    # label cardinality and avoids a second pass over the input
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 def mean_and_size(df: DataFrame, key: str | list[str], value: str) -> DataFrame:
@@ -158,9 +160,10 @@ def mean_distinct_gap(df: DataFrame, date: str) -> DataFrame:
 def outlier_columns(df: DataFrame, cols: list[str] | None = None, k: float = 1.5) -> DataFrame:
     """Values outside [Q1 − k·IQR, Q3 + k·IQR] per column (exact quartiles)."""
     cols = cols or numeric_columns(df)
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.75], names=["q1", "q3"])
     out = []
     for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.75], names=["q1", "q3"])
+        q = qs.filter(F.col("column_name") == c)
         lo = q.select(F.col("q1") - k * (F.col("q3") - F.col("q1"))).scalar()
         hi = q.select(F.col("q3") + k * (F.col("q3") - F.col("q1"))).scalar()
         out.append(df.agg(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("n_outliers"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.mathx import clip, fourier_terms
 from kiln.operators.aggs import group_mode
-from kiln.plans.ordering import exact_quantiles, global_row_number
+from kiln.plans.ordering import exact_quantiles, exact_quantiles_multi, global_row_number
 
 
 def _one_row(df: DataFrame) -> dict:
@@ -30,10 +30,9 @@ class IQRClipper:
     bounds: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "IQRClipper":
-        for c in self.cols:
-            q = _one_row(exact_quantiles(df, c, [0.25, 0.75], names=["q1", "q3"]))
-            iqr = q["q3"] - q["q1"]
-            self.bounds[c] = (q["q1"] - self.lam * iqr, q["q3"] + self.lam * iqr)
+        for r in exact_quantiles_multi(df, self.cols, [0.25, 0.75], names=["q1", "q3"]).collect():
+            iqr = r["q3"] - r["q1"]
+            self.bounds[r["column_name"]] = (r["q1"] - self.lam * iqr, r["q3"] + self.lam * iqr)
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

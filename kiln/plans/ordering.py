@@ -102,3 +102,13 @@ def global_cumsum(df: DataFrame, order_cols: list, weight: str, out: str = "_cum
     offsets = sizes.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
     return (s.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_local"))
             .drop("_pid", "_mid", "_off", "_local"))
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs, names: list[str] | None = None) -> DataFrame:
+    """Exact quantiles of several columns with ONE distributed sort: the
+    columns are stacked into (column_name, value) and ranked per column.
+    One row per column."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                  F.col(c).cast("double").alias("_x")) for c in cols])).alias("_s"))
+    long = long.select("_s.column_name", "_s._x")
+    return exact_quantiles(long, "_x", probs, by=["column_name"], names=names)
