@@ -163,7 +163,6 @@ def k13_als_biased(spark, d):
 # ------------------------------------------------------ calibration, curves ----
 
 def _doc_features(spark, d):
-    docs = proxies.read_table(spark, d, "documents") if hasattr(proxies, "read_table") else None
     from kiln.sources.tables import read_table
     docs = read_table(spark, d, "documents").select("doc_id", "n_chars", "lang", "source", "text")
     lb = read_table(spark, d, "labels").select("doc_id", F.col("quality").alias("label").cast("double"))
@@ -267,7 +266,6 @@ def n6_permutation_importance(spark, d):
     def assemble(df):
         return models.assemble(df.drop("features", "probability", "rawPrediction", "prediction"), _DOC_COLS)
 
-    scored = lambda df: df
     m = _ScoreWrap(model)
     return explain.permutation_importance(m, f, _DOC_COLS, assemble, "score", "label", repeats=3)
 

@@ -1,11 +1,16 @@
 """Stream new transaction files into the history table, exactly once.
 
-The file source records processed files in the checkpoint (a file is read
-once); rows already in the history — e.g. a batch delivered again under a new
-name — are removed by a ``left_anti`` join against the history table itself,
-so the deduplication state lives in storage, not in a growing state store.
-Each micro-batch overwrites only its own ``batch_id=N`` partition, so a batch
-replayed after a failure rewrites the same output (idempotent)."""
+* The file source records processed files in the checkpoint, so a file is read once.
+* Rows already in the history (e.g. a batch delivered again under a new
+  name) are removed by a ``left_anti`` join against the history table itself:
+  the deduplication state lives in storage, not in a growing state store.
+* The history is partitioned by ``month`` of the event column, and each
+  micro-batch reads only the month partitions its own rows touch (partition
+  pruning with the batch's distinct months, bounded by the calendar), so the
+  cost of a batch follows the batch, not the size of the history.
+* Each micro-batch writes partitions ``month=…/batch_id=N`` with dynamic
+  partition overwrite, so a batch replayed after a failure rewrites exactly
+  its own output (idempotent)."""
 
 from __future__ import annotations
 
@@ -14,16 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _history(spark: SparkSession, path: str, schema: str, before_batch: int) -> DataFrame:
+def _history(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
-        h = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], f"{schema}, batch_id BIGINT")
-    return h.filter(F.col("batch_id") < before_batch)
+        return spark.read.schema(f"{schema}, month DATE, batch_id BIGINT").parquet(path)
+    except AnalysisException:  # nothing written yet
+        return None
 
 
 def ingest_files(spark: SparkSession, landing: str, history: str, checkpoint: str, schema: str,
-                 keys: list[str] | None = None, files_per_trigger: int = 1):
+                 event_col: str, keys: list[str] | None = None, files_per_trigger: int = 1):
     """Start the ingestion stream (``availableNow``: process what is there, then stop)."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(landing))
@@ -31,13 +35,18 @@ def ingest_files(spark: SparkSession, landing: str, history: str, checkpoint: st
     keys = keys or cols
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        hist = _history(spark, history, schema, batch_id)
-        fresh = batch.dropDuplicates(keys).join(hist.select(*keys), keys, "left_anti")
-        (fresh.select(*cols).write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}"))
+        b = batch.dropDuplicates(keys).withColumn("month", F.trunc(F.to_date(event_col), "month"))
+        hist = _history(spark, history, schema)
+        if hist is not None:
+            months = [r[0] for r in b.select("month").distinct().collect()]  # calendar-bounded
+            hist = hist.filter(F.col("month").isin(months) & (F.col("batch_id") < batch_id))
+            b = b.join(hist.select(*keys, "month"), [*keys, "month"], "left_anti")
+        (b.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("month", "batch_id").parquet(history))
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def read_history(spark: SparkSession, history: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(history).drop("batch_id")
+    return spark.read.schema(f"{schema}, month DATE, batch_id BIGINT").parquet(history).drop("month", "batch_id")

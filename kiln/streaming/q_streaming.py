@@ -32,7 +32,8 @@ def s1_stream_ingest(spark, d):
     tx.filter(F.year("purchase_date") == 1997).coalesce(1).write.parquet(os.path.join(landing, "part-9999-resent"))
     landing_glob = os.path.join(landing, "*")
     history = scratch_path(spark, "history-tx")
-    q = ingest.ingest_files(spark, landing_glob, history, scratch_path(spark, "ckpt-ingest"), TX_SCHEMA)
+    q = ingest.ingest_files(spark, landing_glob, history, scratch_path(spark, "ckpt-ingest"), TX_SCHEMA,
+                           event_col="purchase_date")
     q.awaitTermination()
     return ingest.read_history(spark, history, TX_SCHEMA)
 
