@@ -154,7 +154,7 @@ def period_bounds(df: DataFrame, date: str) -> DataFrame:
 def mean_distinct_gap(df: DataFrame, date: str) -> DataFrame:
     """Mean gap (days) between consecutive distinct dates = (max − min)/(n − 1)."""
     d = F.to_date(F.col(date))
-    return df.agg((F.datediff(F.max(d), F.min(d)) / (F.count_distinct(d) - 1)).alias("mean_gap_days"))
+    return df.agg((F.datediff(F.max(d), F.min(d)) / F.nullif(F.count_distinct(d) - 1, F.lit(0))).alias("mean_gap_days"))
 
 
 def outlier_columns(df: DataFrame, cols: list[str] | None = None, k: float = 1.5) -> DataFrame:
@@ -204,7 +204,7 @@ def sparsity(df: DataFrame, row: str, col: str) -> DataFrame:
     """1 − filled / (rows · cols), from counts only."""
     return df.agg(F.count_distinct(row).alias("n_rows"), F.count_distinct(col).alias("n_cols"),
                   F.count_distinct(row, col).alias("n_filled")) \
-        .withColumn("sparsity", 1 - F.col("n_filled") / (F.col("n_rows") * F.col("n_cols")))
+        .withColumn("sparsity", 1 - F.col("n_filled") / F.nullif(F.col("n_rows") * F.col("n_cols"), F.lit(0)))
 
 
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:

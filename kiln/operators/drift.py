@@ -19,12 +19,14 @@ def psi(a: DataFrame, b: DataFrame, col: str, bins: int = 10, eps: float = 1e-6)
     u = u.filter(F.col("v").isNotNull())
     lo = a.select(F.min(col)).scalar()
     hi = a.select(F.max(col)).scalar()
-    k = F.least(F.greatest(F.floor((F.col("v") - lo) * bins / (hi - lo)), F.lit(0)), F.lit(bins - 1)).cast("int")
+    k = F.least(F.greatest(F.floor((F.col("v") - lo) * bins / F.nullif(hi - lo, F.lit(0.0))), F.lit(0)),
+                F.lit(bins - 1)).cast("int")
+    k = F.coalesce(k, F.lit(0))  # constant reference column: one bin
     c = u.groupBy(k.alias("bin")).agg(F.count_if(F.col("_p") == 0).alias("na"), F.count_if(F.col("_p") == 1).alias("nb"))
     na = a.select(F.count(col)).scalar()
     nb = b.select(F.count(col)).scalar()
-    pa = F.greatest(F.col("na") / na, F.lit(eps))
-    pb = F.greatest(F.col("nb") / nb, F.lit(eps))
+    pa = F.greatest(F.col("na") / F.nullif(na, F.lit(0)), F.lit(eps))
+    pb = F.greatest(F.col("nb") / F.nullif(nb, F.lit(0)), F.lit(eps))
     return c.agg(F.sum((pb - pa) * F.log(pb / pa)).alias("psi"))
 
 
@@ -37,7 +39,8 @@ def ks_statistic(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     nb = b.select(F.count(col)).scalar()
     ca = global_cumsum(per, ["v"], "ca", out="_fa")
     both = global_cumsum(ca, ["v"], "cb", out="_fb")
-    return both.agg(F.max(F.abs(F.col("_fa") / na - F.col("_fb") / nb)).alias("ks"))
+    return both.agg(F.max(F.abs(F.col("_fa") / F.nullif(na, F.lit(0)) - F.col("_fb") / F.nullif(nb, F.lit(0))))
+                    .alias("ks"))
 
 
 def chi_square(a: DataFrame, b: DataFrame, col: str) -> DataFrame:

@@ -25,7 +25,7 @@ def exact_mean_half_even(units_sum: str, n: str, digits: int):
     """``units_sum / n`` (in millionths) rounded half to even at ``digits``,
     in integer arithmetic: the float mean of a distributed sum depends on the
     order of addition, which decides ties such as x.xx5."""
-    d = f"({n} * {10 ** (UNIT_DIGITS - digits)})"
+    d = f"nullif({n} * {10 ** (UNIT_DIGITS - digits)}, 0)"
     q = f"(abs({units_sum}) div {d})"
     r = f"(abs({units_sum}) - {q} * {d})"
     c = f"(CASE WHEN 2 * {r} > {d} THEN {q} + 1 WHEN 2 * {r} = {d} THEN {q} + {q} % 2 ELSE {q} END)"

@@ -160,3 +160,15 @@ def test_gap_stats_same_day(spark):
     df = spark.createDataFrame(rows, "k long, d timestamp_ntz")
     r = windows.gap_stats(df, "k", "d").first()
     assert r.n == 3 and r.gap_mean == pytest.approx(1.5) and r.gap_std == pytest.approx(1.5)
+
+
+def test_ansi_safe_degenerate_inputs(spark):
+    one_day = spark.createDataFrame([(dt.datetime(2024, 1, 1),)] * 3, "d timestamp_ntz")
+    assert aggs.mean_distinct_gap(one_day, "d").first()[0] is None
+    from kiln.operators import explain
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    r = explain.rule_stats(df, F.col("x") > 5, F.col("x") > 0).first()
+    assert r.coverage == 0.0 and r.precision is None
+    nulls = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), None, None)],
+                                  "customer_id long, invoice_date timestamp_ntz, quantity double, price double")
+    assert lrmfp.lrmfp(nulls).first().Monetary is None
