@@ -149,3 +149,20 @@ def precision_recall_at_k(pred: DataFrame, user: str, est: str, true: str, ks, t
     recall = F.when(nrel > 0, hit / nrel).otherwise(0.0)
     return (per.groupBy("k", F.col("_c.t").alias("threshold"))
             .agg(F.avg(prec).alias("precision_at_k"), F.avg(recall).alias("recall_at_k")))
+
+
+def roc_auc_by(df: DataFrame, by: str, y: str, score: str) -> DataFrame:
+    """M4 per group (e.g. per permutation repeat): the running count of
+    negatives restarts at each group — a distributed running count over
+    (group, score) minus the totals of the earlier groups (one row per group)."""
+    per = df.groupBy(by, F.col(score).alias("_s")).agg(F.count_if(F.col(y) == 1).alias("_pos"),
+                                                       F.count_if(F.col(y) != 1).alias("_neg"))
+    cum = global_cumsum(per, [by, "_s"], "_neg", out="_cum")
+    tot = per.groupBy(by).agg(F.sum("_neg").alias("_gneg"))
+    w = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
+    before = tot.select(by, F.coalesce(F.sum("_gneg").over(w), F.lit(0)).alias("_before"))
+    cum = cum.join(before, by).withColumn("_negle", F.col("_cum") - F.col("_before"))
+    part = cum.groupBy(by).agg(
+        F.sum(F.col("_pos") * (F.col("_negle") - F.col("_neg")) + 0.5 * F.col("_pos") * F.col("_neg")).alias("_num"),
+        F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    return part.select(by, (F.col("_num") / F.nullif(F.col("_p") * F.col("_n"), F.lit(0))).alias("roc_auc"))

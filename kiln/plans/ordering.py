@@ -45,8 +45,11 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "_rn",
 
 def rank_within_group(df: DataFrame, by: list[str], order_cols: list, out: str = "_pos",
                       size_col: str = "_n") -> DataFrame:
-    """0-based position inside each ``by`` group plus the group size, exact and
-    skew-proof (no per-group window)."""
+    """0-based position inside each ``by`` group plus the group size, exact,
+    with no per-group window: the sort is range-partitioned on (group, order),
+    so a hot group is split across tasks.  The group's first position and size
+    (one row per group) are joined back; for a hot group that sort-merge join
+    is split by AQE's skew-join handling, which replicates the one-row side."""
     numbered = global_row_number(df, [*by, *order_cols], out="_g")
     if by:
         bounds = numbered.groupBy(*by).agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias(size_col))

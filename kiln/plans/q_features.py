@@ -238,3 +238,35 @@ def i15_feature_pipeline(spark, d):
     model = feature_pipeline(NUMERIC, CATEGORICAL, IDS).fit(data.filter(F.col("split") == "train"))
     return model.transform(data).select("customer_id", "week", "product_id", "split",
                                         vector_to_array("features").alias("features"))
+
+
+_LAMBDAS = [0.5, 1.0, 1.5, 2.0, 3.0]
+
+
+def _i2_sweep_sql():
+    qs = ", ".join(f"quantile_cont({c}, [0.25, 0.75]) AS q_{c}" for c in _NUM)
+    parts = []
+    for lam in _LAMBDAS:
+        for c in _NUM:
+            lo = f"q_{c}[1] - {lam} * (q_{c}[2] - q_{c}[1])"
+            hi = f"q_{c}[2] + {lam} * (q_{c}[2] - q_{c}[1])"
+            parts.append(f"SELECT CAST({lam} AS DOUBLE) AS lam, '{c}' AS column_name, "
+                         f"CAST(count_if({c} < {lo} OR {c} > {hi}) AS BIGINT) AS n_clipped FROM lineitem, q")
+    return f"WITH q AS (SELECT {qs} FROM lineitem) " + " UNION ALL ".join(parts)
+
+
+@register("i2_iqr_lambda_sweep", _i2_sweep_sql())
+def i2_iqr_lambda_sweep(spark, d):
+    """I2 λ sweep: values each λ would clip, per column (one quantile sort for
+    all columns, one aggregate per λ)."""
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    li = read_table(spark, d, "lineitem").select(*_NUM)
+    fitted = {lam: ft.IQRClipper(_NUM, lam) for lam in _LAMBDAS}
+    base = ft.IQRClipper(_NUM, 0.0).fit(li)  # quartiles once
+    frames = []
+    for lam, clipper in fitted.items():
+        clipper.bounds = {c: (lo - lam * (hi - lo), hi + lam * (hi - lo)) for c, (lo, hi) in base.bounds.items()}
+        row = li.agg(*[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in clipper.bounds.items()])
+        frames.append(row.unpivot([], _NUM, "column_name", "n_clipped").withColumn("lam", F.lit(float(lam))))
+    return reduce(DataFrame.unionByName, frames)

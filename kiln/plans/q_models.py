@@ -267,7 +267,7 @@ def n6_permutation_importance(spark, d):
         return models.assemble(df.drop("features", "probability", "rawPrediction", "prediction"), _DOC_COLS)
 
     m = _ScoreWrap(model)
-    return explain.permutation_importance(m, f, _DOC_COLS, assemble, "score", "label", repeats=3)
+    return explain.permutation_importance(m, f, _DOC_COLS, assemble, "score", "label", repeats=30)
 
 
 class _ScoreWrap:
@@ -301,9 +301,16 @@ def n8_partial_dependence(spark, d):
     def predict(df):
         return model.transform(models.assemble(df, _DOC_COLS)).withColumn("p", vector_to_array("probability")[1])
 
-    rows = hash_sample(f, "doc_id", 1000)
-    grid = [float(x) for x in range(2, 13)]
-    return explain.partial_dependence(predict, rows, "log_chars", grid)
+    rows = hash_sample(f, "doc_id", 1000)          # 1,000 explained rows (sampling is the feature)
+    bounds = f.agg(*[F.min(c).alias(f"lo_{c}") for c in _DOC_COLS], *[F.max(c).alias(f"hi_{c}") for c in _DOC_COLS]).first()
+    from functools import reduce
+    from pyspark.sql import DataFrame
+    frames = []
+    for c in _DOC_COLS:  # every model feature (fewer than five here)
+        lo, hi = bounds[f"lo_{c}"], bounds[f"hi_{c}"]
+        grid = [lo + (hi - lo) * j / 9 for j in range(10)]
+        frames.append(explain.partial_dependence(predict, rows, c, grid))
+    return reduce(DataFrame.unionByName, frames)
 
 
 _RULE_SQL = "size > 25 AND customer_type = 'BUILDING'"

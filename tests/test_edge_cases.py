@@ -172,3 +172,25 @@ def test_ansi_safe_degenerate_inputs(spark):
     nulls = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), None, None)],
                                   "customer_id long, invoice_date timestamp_ntz, quantity double, price double")
     assert lrmfp.lrmfp(nulls).first().Monetary is None
+
+
+def test_grouped_auc_matches_single(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": np.repeat([0, 1, 2], 100), "y": rng.integers(0, 2, 300), "s": np.round(rng.random(300), 1)})
+    df = spark.createDataFrame(pdf)
+    got = {r.g: r.roc_auc for r in metrics.roc_auc_by(df, "g", "y", "s").collect()}
+    for g in (0, 1, 2):
+        want = metrics.roc_auc(df.filter(F.col("g") == g), "y", "s").first()[0]
+        assert got[g] == pytest.approx(want)
+
+
+def test_hot_group_is_spread_over_range_partitions(spark):
+    # one key holds a third of the rows: the range partitioning on (key, value)
+    # splits it, and the per-group quantiles stay exact
+    rows = [(0, float(i)) for i in range(3000)] + [(k, float(i)) for k in range(1, 60) for i in range(100)]
+    df = spark.createDataFrame(rows, "g long, x double")
+    numbered = global_row_number(df, ["g", "x"], out="rn")  # the sort stage of rank_within_group
+    parts = numbered.filter("g = 0").select(F.spark_partition_id()).distinct().count()
+    assert parts > 1
+    q = {r.g: r.q50 for r in exact_quantiles(df, "x", [0.5], by=["g"], names=["q50"]).collect()}
+    assert q[0] == pytest.approx(1499.5) and q[1] == pytest.approx(49.5)
