@@ -26,7 +26,7 @@ def _num_partitions(df: DataFrame) -> int:
 
 
 def global_row_number(df: DataFrame, order_cols: list, out: str = "_rn",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, keep_pid: bool = False) -> DataFrame:
     """0-based position of every row in ``order_cols`` order (ties broken by
     the incoming order, fixed by a reliable checkpoint)."""
     n = num_partitions or _num_partitions(df)
@@ -38,25 +38,34 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "_rn",
     sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (s.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-            .drop("_pid", "_mid", "_off"))
+    res = (s.join(F.broadcast(offsets), "_pid")
+           .withColumn(out, F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+           .drop("_mid", "_off"))
+    return res if keep_pid else res.drop("_pid")
 
 
 def rank_within_group(df: DataFrame, by: list[str], order_cols: list, out: str = "_pos",
                       size_col: str = "_n") -> DataFrame:
     """0-based position inside each ``by`` group plus the group size, exact,
     with no per-group window: the sort is range-partitioned on (group, order),
-    so a hot group is split across tasks.  The group's first position and size
-    (one row per group) are joined back; for a hot group that sort-merge join
-    is split by AQE's skew-join handling, which replicates the one-row side."""
-    numbered = global_row_number(df, [*by, *order_cols], out="_g")
+    so a hot group is split across tasks.  Group starts and sizes are
+    aggregated per (range partition, group) and joined back on that pair, so
+    a hot group arrives under as many join keys as partitions it spans and no
+    task receives it whole."""
+    numbered = global_row_number(df, [*by, *order_cols], out="_g", keep_pid=True)
     if by:
-        bounds = numbered.groupBy(*by).agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias(size_col))
-        numbered = numbered.join(bounds, by)
+        per_part = numbered.groupBy("_pid", *by).agg(F.min("_g").alias("_pg0"), F.count(F.lit(1)).alias("_pn"))
+        per_group = per_part.groupBy(*by).agg(F.min("_pg0").alias("_g0"), F.sum("_pn").alias(size_col))
+        # null-safe equality: a null group is a group (rows are never dropped)
+        pg = per_group.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_g0", size_col)
+        bounds = per_part.join(pg, [per_part[c].eqNullSafe(pg[f"_k_{c}"]) for c in by]) \
+            .select(F.col("_pid").alias("_bpid"), *[F.col(c).alias(f"_b_{c}") for c in by], "_g0", size_col)
+        cond = [numbered["_pid"] == bounds["_bpid"]] + [numbered[c].eqNullSafe(bounds[f"_b_{c}"]) for c in by]
+        numbered = numbered.join(bounds, cond).drop("_pid", "_bpid", *[f"_b_{c}" for c in by])
     else:
         bounds = numbered.agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias(size_col))
-        numbered = numbered.withColumn("_g0", F.lit(0)).withColumn(size_col, bounds.select(size_col).scalar())
+        numbered = (numbered.drop("_pid").withColumn("_g0", F.lit(0))
+                    .withColumn(size_col, bounds.select(size_col).scalar()))
     return numbered.withColumn(out, F.col("_g") - F.col("_g0")).drop("_g", "_g0")
 
 

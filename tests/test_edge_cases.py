@@ -194,3 +194,10 @@ def test_hot_group_is_spread_over_range_partitions(spark):
     assert parts > 1
     q = {r.g: r.q50 for r in exact_quantiles(df, "x", [0.5], by=["g"], names=["q50"]).collect()}
     assert q[0] == pytest.approx(1499.5) and q[1] == pytest.approx(49.5)
+
+
+def test_rank_within_group_keeps_null_group(spark):
+    from kiln.plans.ordering import rank_within_group
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0)], "g string, x double")
+    got = sorted((r.g or "", r._pos, r._n) for r in rank_within_group(df, ["g"], ["x"]).collect())
+    assert got == [("", 0, 2), ("", 1, 2), ("a", 0, 1)]
