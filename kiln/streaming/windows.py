@@ -1,5 +1,7 @@
-"""Weekly totals per key on a stream; windows close when the watermark
-passes their end, later rows for a closed window are dropped."""
+"""Weekly totals per key on a stream.  A window is emitted (append mode)
+once the watermark passes its end; rows older than the watermark of the
+previous micro-batch are dropped as late (Spark's rule for stateful
+operators), so a row can still join a window in the batch that closes it."""
 
 from __future__ import annotations
 
