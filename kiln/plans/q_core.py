@@ -87,6 +87,28 @@ def a7_contract_check(spark, d):
                                      ["customer_id", "product_id", "purchase_date"], {"items": "int"})
 
 
+@register("a7_contract_check_per_file", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows,
+       CAST(count_if(o_custkey IS NULL) AS BIGINT) AS null_o_custkey,
+       CAST(count_if(o_orderdate IS NULL) AS BIGINT) AS null_o_orderdate,
+       CAST(count_if(o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS INTEGER) IS NULL) AS BIGINT)
+         AS badcast_o_orderpriority
+FROM orders GROUP BY year(o_orderdate)""")
+def a7_contract_check_per_file(spark, d):
+    """Landing files, one per order year (written by one partitioned job), each
+    checked on its own."""
+    path = scratch_path(spark, "orders-by-year")
+    o = read_table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    o.repartition("year").write.partitionBy("year").parquet(path)
+    back = spark.read.schema("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+                             "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, year INT").parquet(path)
+    chk = files.contract_violations(back, ["o_orderkey", "o_custkey", "o_orderdate"], ["o_custkey", "o_orderdate"],
+                                    {"o_orderpriority": "int"}, per_file=True)
+    year = F.regexp_extract(F.col("file_path"), r"year=(\d+)", 1).cast("int")
+    return chk.groupBy(year.alias("year")).agg(F.sum("n_rows").alias("n_rows"),
+                                               *[F.sum(c).alias(c) for c in chk.columns if c not in ("file_path", "n_rows")])
+
+
 # ------------------------------------------------------------- flagship ----
 
 @register("d1_weekly_rollup", with_ctes(*WEEKLY_CTES) + "SELECT * FROM w")

@@ -64,9 +64,10 @@ def union_sources(spark: SparkSession, paths: list[str], fmt: str = "parquet") -
 
 
 def contract_violations(df: DataFrame, required: list[str], keys: list[str],
-                        casts: dict[str, str] | None = None) -> DataFrame:
+                        casts: dict[str, str] | None = None, per_file: bool = False) -> DataFrame:
     """Input contract check. Missing required columns are an error (schema
-    only, no job); then one aggregate counts null keys and failed casts."""
+    only, no job); then one aggregate counts null keys and failed casts — per
+    input file when ``per_file`` (``_metadata.file_path`` of a file scan)."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
         raise ValueError(f"missing required columns: {missing}")
@@ -75,4 +76,6 @@ def contract_violations(df: DataFrame, required: list[str], keys: list[str],
     exprs += [F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in keys]
     exprs += [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"badcast_{c}")
               for c, t in casts.items()]
+    if per_file:
+        return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*exprs)
     return df.agg(*exprs)
