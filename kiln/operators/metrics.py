@@ -45,17 +45,20 @@ def classification_summary(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 def classification_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """M3: per class rows plus ``macro avg`` and ``weighted avg`` rows
-    (row, precision, recall, f1, support)."""
+    (row, precision, recall, f1, support), in ONE aggregate over the per-class
+    table: every class row is emitted once as itself, once into the macro
+    average (weight 1) and once into the weighted average (weight support)."""
     pc = per_class(df, y, yhat)
-    rows = pc.select(F.col("cls").cast("string").alias("row"), "precision", "recall", "f1", "support")
-    s = classification_summary(df, y, yhat)
-    n = pc.select(F.sum("support")).scalar()
-    macro = s.select(F.lit("macro avg").alias("row"), F.col("macro_precision").alias("precision"),
-                     F.col("macro_recall").alias("recall"), F.col("macro_f1").alias("f1"), n.alias("support"))
-    weighted = s.select(F.lit("weighted avg").alias("row"), F.col("weighted_precision").alias("precision"),
-                        F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"),
-                        n.alias("support"))
-    return reduce(DataFrame.unionByName, [rows, macro, weighted])
+    parts = [F.struct(name.alias("row"), F.col("precision").alias("p"), F.col("recall").alias("r"),
+                      F.col("f1").alias("f"), F.col("support").alias("s"), w.alias("w"))
+             for name, w in [(F.col("cls").cast("string"), F.lit(1.0)), (F.lit("macro avg"), F.lit(1.0)),
+                             (F.lit("weighted avg"), F.col("support").cast("double"))]]
+    ex = pc.select(F.explode(F.array(*parts)).alias("_e")).select("_e.*")
+    den = F.nullif(F.sum("w"), F.lit(0.0))
+    return ex.groupBy("row").agg((F.sum(F.col("p") * F.col("w")) / den).alias("precision"),
+                                 (F.sum(F.col("r") * F.col("w")) / den).alias("recall"),
+                                 (F.sum(F.col("f") * F.col("w")) / den).alias("f1"),
+                                 F.sum("s").alias("support"))
 
 
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
