@@ -54,7 +54,11 @@ def s2_stream_weekly_totals(spark, d):
               .option("maxFilesPerTrigger", 1).parquet(os.path.join(landing, "*")))
     out = scratch_path(spark, "weekly-stream")
     tz = spark.conf.get("spark.sql.session.timeZone")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.session.timeZone", "UTC")  # captured by the query at start
+    # State partitions are fixed at the first start (AQE does not coalesce a
+    # stateful stream): one per core of the cluster.
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
     try:
         q = (windows.weekly_totals(stream, "ts", "event_type", "value").writeStream.format("parquet")
              .outputMode("append").option("path", out).option("checkpointLocation", scratch_path(spark, "ckpt-weekly"))
@@ -62,6 +66,7 @@ def s2_stream_weekly_totals(spark, d):
         q.awaitTermination()
     finally:
         spark.conf.set("spark.sql.session.timeZone", tz)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     res = spark.read.parquet(out)
     return res.select("window_start", "window_end", "event_type", F.round("total", 6).alias("total"), "n")
 
