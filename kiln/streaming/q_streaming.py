@@ -59,6 +59,10 @@ def s2_stream_weekly_totals(spark, d):
     # State partitions are fixed at the first start (AQE does not coalesce a
     # stateful stream): one per core of the cluster.
     spark.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    # RocksDB keeps window state off the JVM heap (state larger than memory).
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
         q = (windows.weekly_totals(stream, "ts", "event_type", "value").writeStream.format("parquet")
              .outputMode("append").option("path", out).option("checkpointLocation", scratch_path(spark, "ckpt-weekly"))
@@ -67,6 +71,7 @@ def s2_stream_weekly_totals(spark, d):
     finally:
         spark.conf.set("spark.sql.session.timeZone", tz)
         spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
     res = spark.read.parquet(out)
     return res.select("window_start", "window_end", "event_type", F.round("total", 6).alias("total"), "n")
 
