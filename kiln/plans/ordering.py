@@ -70,9 +70,10 @@ def rank_within_group(df: DataFrame, by: list[str], order_cols: list, out: str =
 
 
 def exact_quantiles(df: DataFrame, value: str, probs, by: list[str] | None = None,
-                    names: list[str] | None = None) -> DataFrame:
+                    names: list[str] | None = None, count_col: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (pandas / ``percentile`` semantics) of
-    ``value`` per ``by`` group, one column per probability; nulls ignored."""
+    ``value`` per ``by`` group, one column per probability; nulls ignored.
+    ``count_col`` adds the number of non-null values of the group."""
     by = list(by or [])
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     base = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -88,12 +89,17 @@ def exact_quantiles(df: DataFrame, value: str, probs, by: list[str] | None = Non
     per = (exploded.groupBy(*by, F.col("_k.name").alias("_name"))
            .agg(F.max(F.when(F.col("_k.is_lo"), F.col("_v"))).alias("_lo"),
                 F.max(F.when(F.col("_k.is_hi"), F.col("_v"))).alias("_hi"),
-                F.max("_k.frac").alias("_frac")))
+                F.max("_k.frac").alias("_frac"), F.max("_n").alias("_cnt")))
     per = per.withColumn("_q", F.when(F.col("_hi").isNull() | (F.col("_frac") == 0), F.col("_lo"))
                          .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")))
+    extra = [F.max("_cnt").alias(count_col)] if count_col else []
     if by:
-        return per.groupBy(*by).pivot("_name", names).agg(F.first("_q"))
-    return per.groupBy().pivot("_name", names).agg(F.first("_q"))
+        return per.groupBy(*by).pivot("_name", names).agg(F.first("_q")) if not extra else \
+            per.groupBy(*by).agg(*[F.first(F.when(F.col("_name") == n, F.col("_q")), ignorenulls=True).alias(n)
+                                   for n in names], *extra)
+    return per.groupBy().pivot("_name", names).agg(F.first("_q")) if not extra else \
+        per.groupBy().agg(*[F.first(F.when(F.col("_name") == n, F.col("_q")), ignorenulls=True).alias(n)
+                            for n in names], *extra)
 
 
 def global_cumsum(df: DataFrame, order_cols: list, weight: str, out: str = "_cum",

@@ -201,3 +201,15 @@ def test_rank_within_group_keeps_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0)], "g string, x double")
     got = sorted((r.g or "", r._pos, r._n) for r in rank_within_group(df, ["g"], ["x"]).collect())
     assert got == [("", 0, 2), ("", 1, 2), ("a", 0, 1)]
+
+
+def test_priority_methods_agree(spark):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"customer_id": rng.integers(0, 30, 600), "weekly_items": rng.integers(1, 40, 600).astype(float)})
+    df = spark.createDataFrame(pdf)
+    a = {tuple(r[:3]) for r in labels.assign_priority(df.withColumn("i", F.monotonically_increasing_id()), method="agg")
+         .select("i", "weekly_items", "priority").collect()}
+    b = {tuple(r[:3]) for r in labels.assign_priority(df.withColumn("i", F.monotonically_increasing_id()), method="sort")
+         .select("i", "weekly_items", "priority").collect()}
+    assert a == b
+    assert labels._choose(df, "weekly_items", ["customer_id"], "auto") == "agg"
