@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.mathx import clip, fourier_terms
 from kiln.operators.aggs import group_mode
-from kiln.plans.ordering import exact_quantiles, exact_quantiles_multi, global_row_number
+from kiln.plans.ordering import exact_quantiles, exact_quantiles_multi, global_row_number, rank_within_group
 
 
 def _one_row(df: DataFrame) -> dict:
@@ -185,11 +185,15 @@ class IdEncoder:
     sizes: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "IdEncoder":
+        # every id column in ONE distributed sort: stack (column, key), rank per column
+        stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_key"))
+                                                for c in self.cols])).alias("_s")).select("_s._col", "_s._key")
+        ids = stacked.filter(F.col("_key").isNotNull()).distinct()
+        coded = rank_within_group(ids, ["_col"], ["_key"], out="_code", size_col="_size")
         for c in self.cols:
-            ids = df.select(F.col(c).cast("string").alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-            coded = global_row_number(ids, ["_key"], out=f"_code_{c}")
-            self.tables[c] = coded
-            self.sizes[c] = coded.select(F.count(F.lit(1)))
+            mine = coded.filter(F.col("_col") == c)
+            self.tables[c] = mine.select("_key", F.col("_code").alias(f"_code_{c}"))
+            self.sizes[c] = mine.select(F.coalesce(F.max("_size"), F.lit(0).cast("long")))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -52,11 +52,12 @@ class MostFrequentImputer(Estimator, HasInputCols, HasOutputCols):
 
     def _fit(self, dataset: DataFrame) -> "MostFrequentImputerModel":
         from kiln.operators.aggs import group_mode
-        modes = []
-        for c in self.getInputCols():
-            row = group_mode(dataset, None, c, "m").first()
-            modes.append(row["m"] if row else "Unknown")
-        return MostFrequentImputerModel(self.getInputCols(), self.getOutputCols(), modes)
+        cols = self.getInputCols()
+        # all columns in one aggregate: stack (column, value), mode per column
+        long = dataset.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v"))
+                                                  for c in cols])).alias("_s")).select("_s._c", "_s._v")
+        found = {r["_c"]: r["m"] for r in group_mode(long, ["_c"], "_v", "m").collect()}  # one row per column
+        return MostFrequentImputerModel(cols, self.getOutputCols(), [found.get(c, "Unknown") for c in cols])
 
 
 class MostFrequentImputerModel(Model):
@@ -65,7 +66,9 @@ class MostFrequentImputerModel(Model):
         self.cols, self.outs, self.modes = cols, outs, modes
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns({o: F.coalesce(F.col(c), F.lit(m)) for c, o, m in zip(self.cols, self.outs, self.modes)})
+        types = {f.name: f.dataType for f in dataset.schema.fields}
+        return dataset.withColumns({o: F.coalesce(F.col(c), F.lit(m).cast(types[c]))
+                                    for c, o, m in zip(self.cols, self.outs, self.modes)})
 
 
 def feature_pipeline(numeric: list[str], categorical: list[str], ids: list[str],
