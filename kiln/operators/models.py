@@ -5,6 +5,8 @@ DataFrames and are scored by the operators in ``metrics``."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 import time
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
@@ -33,7 +35,7 @@ def prepare(df: DataFrame, numeric, categorical, ids, label: str, split_col: str
             fit_split: str = "train"):
     """Fit the I15 pipeline and the label indexer on the training rows only and
     transform every row; returns (prepared rows, fitted pipeline, label classes)."""
-    train = df.filter(F.col(split_col) == fit_split).persist()  # several fit passes read it
+    train = df.filter(F.col(split_col) == fit_split).persist(StorageLevel.DISK_ONLY)  # several fit passes read it
     pipe = feature_pipeline(numeric, categorical, ids).fit(train)
     lab = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc",
                         handleInvalid="keep").fit(train)

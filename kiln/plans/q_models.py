@@ -4,6 +4,8 @@ baselines, the trend line, rule statistics and drift have DuckDB oracles."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ def priority_split(spark, d):
 
 def priority_prepared(spark, d):
     data, pipe, classes = models.prepare(priority_split(spark, d), NUMERIC, CATEGORICAL, IDS, "priority")
-    return data.persist(), pipe, classes
+    return data.persist(StorageLevel.DISK_ONLY), pipe, classes
 
 
 SQL_SPLIT = """sl AS (SELECT *, CASE WHEN pos >= n - ceil(n * CAST(0.1 AS DOUBLE)) THEN 'test'
@@ -176,7 +178,7 @@ def _doc_features(spark, d):
 
 @register("m8_platt_calibration")
 def m8_platt_calibration(spark, d):
-    f = stratified_folds(_doc_features(spark, d), "label", "doc_id", 5).persist()
+    f = stratified_folds(_doc_features(spark, d), "label", "doc_id", 5).persist(StorageLevel.DISK_ONLY)
     oof = None
     for k in range(5):
         m = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(f.filter(F.col("fold") != k))
