@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm.common import read
+from kiln.llm.common import read, ship
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -13,7 +15,11 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -77,3 +83,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.url_filter import judge
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(str(r) for r in URL_RULES) + " AS t(verdict, host, path)")
     return judge(read(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@register("op7_minhash_neardup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.neardup import link
+    return link(read(spark, sf_dir, "documents").select("doc_id", "text"))
