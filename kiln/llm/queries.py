@@ -89,3 +89,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.neardup import link
     return link(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@register("op1_maxscore_topk", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.maxscore import top_k
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op2_rule_ensemble")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.common import crc_bucket
+    from kiln.llm.quality import ACCEPT, score
+    labels = read(spark, sf_dir, "labels").filter(crc_bucket(F.col("doc_id"), 4) != 2)
+    scored = score(read(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return scored.select("doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
