@@ -115,3 +115,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(read(spark, sf_dir, "documents").select("doc_id", "text"), labels)
     return scored.select("doc_id", (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
                          (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+@register("op6_iblt_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.sketch import fingerprints
+    return fingerprints(read(spark, sf_dir, "documents").select("doc_id", "text"))
