@@ -121,3 +121,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.sketch import fingerprints
     return fingerprints(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op10_disclosure")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.pii import KINDS, detect, listed
+    found = detect(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+
+    def count(i):
+        return F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}")
+
+    counts = [count(i) for i in range(len(KINDS))]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
