@@ -134,3 +134,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(i) for i in range(len(KINDS))]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@register("op9_hmm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.common import crc_bucket
+    from kiln.llm.hmm import score
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, crc_bucket(F.col("doc_id"), 5) != 1)
