@@ -153,8 +153,9 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     """The mixed corpus itself: every document of ``docs`` as often as it goes in."""
     mixed = materialize(mix(docs, key, text, source, seed).select(
         F.col(key).alias("_k"), F.col("source").alias("_s"), F.col("size").alias("_z"), "rows", "whole", "more"), "mixed")
-    met = docs.withColumn("_size", n_words(F.col(text))).join(
-        mixed, F.col(key).eqNullSafe(F.col("_k")) & F.col(source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
+    met = (docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), F.col(source).alias("_source"),
+                       n_words(F.col(text)).alias("_size"))
+           .join(mixed, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))))
     copies = F.col("whole") + (F.col("more") > 0).cast("long")
     parted = (F.col("more") > 0) & (F.col("more") < F.col("rows"))  # equal rows of which only some go in once more
     out = met.filter(~parted)
@@ -162,4 +163,4 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
         nth = F.row_number().over(Window.partitionBy("_k", "_s", "_z").orderBy(F.lit(0)))
         some = met.filter(parted).withColumn("_nth", nth).withColumn("more", (F.col("_nth") <= F.col("more")).cast("long"))
         out = out.unionByName(some.drop("_nth"))
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*docs.columns)
+    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select("_row.*")

@@ -228,3 +228,20 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without near duplicates: of every component the document with
+    the smallest id stays, once.  Rows without an id cannot be told apart by it
+    and stay."""
+    kept = materialize(link(docs, key, text).filter("kept AND doc_id IS NOT NULL")
+                       .groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "near-kept")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_id"), F.xxhash64(text).alias("_h"))
+    met = rows.join(kept, F.col("_id") == F.col("_kept"))
+    out = met.filter("_rows = 1").select("_row.*")
+    if not kept.filter("_rows > 1").isEmpty():  # rows that share an id: the first by a hash of the text
+        first = met.filter("_rows > 1").groupBy("_kept").agg(F.min_by("_row", "_h").alias("_row"))
+        out = out.unionByName(first.select("_row.*"))
+    if not docs.filter(F.col(key).isNull()).isEmpty():
+        out = out.unionByName(docs.filter(F.col(key).isNull()))
+    return out

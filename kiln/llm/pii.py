@@ -121,10 +121,10 @@ def _entity(span: Column) -> Column:
 
 
 def detect(docs: DataFrame, text: str = "text", keep: list[str] | None = None, support: int = SUPPORT,
-           generalise: float = GENERALISE) -> DataFrame:
-    """``keep`` columns plus ``spans``: array<struct<kind, start, end, value,
+           generalise: float = GENERALISE, out: str = "spans") -> DataFrame:
+    """``keep`` columns plus ``out``: array<struct<kind, start, end, value,
     ratio>>, base spans first (ratio null), then terms (kind 4)."""
-    keep = list(docs.columns if keep is None else keep)
+    keep = [c for c in (docs.columns if keep is None else keep) if c != out]
     body = docs.select(F.struct(*keep).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     base = body.withColumn("_spans", base_spans(F.col("_t")))
     free = F.filter(F.flatten(F.transform("_spans", lambda s: F.transform(_around(F.col("_t"), s), lambda m: F.struct(
@@ -141,7 +141,7 @@ def detect(docs: DataFrame, text: str = "text", keep: list[str] | None = None, s
     based = F.transform("_spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                                                      s["value"].alias("value"), F.lit(None).cast("double").alias("ratio")))
     return (found.join(terms, "_rid", "left")
-            .select("_row.*", F.concat(based, F.coalesce("_terms", F.slice(based, 1, 0))).alias("spans")))
+            .select("_row.*", F.concat(based, F.coalesce("_terms", F.slice(based, 1, 0))).alias(out)))
 
 
 def disclosing(found: DataFrame, docs: DataFrame, text: str, support: int, generalise: float) -> DataFrame:
