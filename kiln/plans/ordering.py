@@ -4,13 +4,13 @@
 whole table (which would put every row in one task): the table is range
 partitioned on the order keys, sorted within partitions, and each partition's
 offset is the running sum of the partition sizes (a table with one row per
-partition, so its broadcast is bounded by the partition count).  A hot key
-cannot overload one task because range bounds split it by the remaining order
-columns.
+partition, so its broadcast is bounded by the partition count).  The number of
+partitions is left to the session and to AQE.
 
-``exact_quantiles`` builds on it: ranks within a group are ``global − first
-global`` of the group, and the quantile rows are picked by position, so no
-task ever holds a group's values.
+Rows with equal order keys cannot be split by a range, so ``exact_quantiles``
+counts equal (group, value) pairs first, with map-side partial counts: a value
+that fills half of the table is one row with a large count, and the distributed
+running sum goes over distinct values only.
 """
 
 from __future__ import annotations
@@ -21,40 +21,53 @@ from pyspark.sql import functions as F
 from kiln.session import cut_lineage
 
 
-def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _numbered(df: DataFrame, order_cols: list, out: str, weight: str | None = None,
+              num_partitions: int | None = None) -> DataFrame:
+    """``out`` = rows (or the sum of ``weight``) before each row in order, plus
+    ``_pid``, the range partition.  The sorted rows are fixed by a reliable
+    checkpoint, since offsets and rows must see the same ranges."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    s = cut_lineage(ranged.sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
+    if weight is None:
+        s = s.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+        sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_tot"))
+    else:
+        local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+        s = s.withColumn("_local", F.sum(weight).over(local) - F.col(weight))
+        sizes = s.groupBy("_pid").agg(F.sum(weight).alias("_tot"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
+    return (s.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_local"))
+            .drop("_mid", "_off", "_local"))
 
 
 def global_row_number(df: DataFrame, order_cols: list, out: str = "_rn",
-                      num_partitions: int | None = None, keep_pid: bool = False) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """0-based position of every row in ``order_cols`` order (ties broken by
-    the incoming order, fixed by a reliable checkpoint)."""
-    n = num_partitions or _num_partitions(df)
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    s = cut_lineage(s)
-    sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    res = (s.join(F.broadcast(offsets), "_pid")
-           .withColumn(out, F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-           .drop("_mid", "_off"))
-    return res if keep_pid else res.drop("_pid")
+    the incoming order)."""
+    return _numbered(df, order_cols, out, num_partitions=num_partitions).drop("_pid")
+
+
+def global_cumsum(df: DataFrame, order_cols: list, weight: str, out: str = "_cum") -> DataFrame:
+    """Running total of ``weight`` in ``order_cols`` order (inclusive)."""
+    return _numbered(df, order_cols, out, weight).withColumn(out, F.col(out) + F.col(weight)).drop("_pid")
 
 
 def rank_within_group(df: DataFrame, by: list[str], order_cols: list, out: str = "_pos",
-                      size_col: str = "_n") -> DataFrame:
+                      size_col: str = "_n", weight: str | None = None) -> DataFrame:
     """0-based position inside each ``by`` group plus the group size, exact,
     with no per-group window: the sort is range-partitioned on (group, order),
-    so a hot group is split across tasks.  Group starts and sizes are
-    aggregated per (range partition, group) and joined back on that pair, so
-    a hot group arrives under as many join keys as partitions it spans and no
-    task receives it whole."""
-    numbered = global_row_number(df, [*by, *order_cols], out="_g", keep_pid=True)
+    so a hot group is split across tasks.  With ``weight`` a row stands for so
+    many equal ones.  Group starts and sizes are aggregated per (range
+    partition, group) and joined back on that pair, so a hot group arrives
+    under as many join keys as partitions it spans and no task receives it
+    whole."""
+    numbered = _numbered(df, [*by, *order_cols], "_g", weight)
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     if by:
-        per_part = numbered.groupBy("_pid", *by).agg(F.min("_g").alias("_pg0"), F.count(F.lit(1)).alias("_pn"))
+        per_part = numbered.groupBy("_pid", *by).agg(F.min("_g").alias("_pg0"), size.alias("_pn"))
         per_group = per_part.groupBy(*by).agg(F.min("_pg0").alias("_g0"), F.sum("_pn").alias(size_col))
         # null-safe equality: a null group is a group (rows are never dropped)
         pg = per_group.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_g0", size_col)
@@ -63,7 +76,7 @@ def rank_within_group(df: DataFrame, by: list[str], order_cols: list, out: str =
         cond = [numbered["_pid"] == bounds["_bpid"]] + [numbered[c].eqNullSafe(bounds[f"_b_{c}"]) for c in by]
         numbered = numbered.join(bounds, cond).drop("_pid", "_bpid", *[f"_b_{c}" for c in by])
     else:
-        bounds = numbered.agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias(size_col))
+        bounds = numbered.agg(size.alias(size_col))
         numbered = (numbered.drop("_pid").withColumn("_g0", F.lit(0))
                     .withColumn(size_col, bounds.select(size_col).scalar()))
     return numbered.withColumn(out, F.col("_g") - F.col("_g0")).drop("_g", "_g0")
@@ -77,13 +90,18 @@ def exact_quantiles(df: DataFrame, value: str, probs, by: list[str] | None = Non
     by = list(by or [])
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     base = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = rank_within_group(base, by, ["_v"])
+    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))  # equal values: one row
+    ranked = rank_within_group(counts, by, ["_v"], weight="_c")
+
+    def holds(at):
+        return (F.col("_pos") <= at) & (at < F.col("_pos") + F.col("_c"))
+
     picks = []
     for p, name in zip(probs, names):
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, frac = F.floor(pos), pos - F.floor(pos)
-        picks.append(F.struct(F.lit(name).alias("name"), (F.col("_pos") == lo).alias("is_lo"),
-                              (F.col("_pos") == lo + 1).alias("is_hi"), frac.alias("frac")))
+        picks.append(F.struct(F.lit(name).alias("name"), holds(lo).alias("is_lo"),
+                              holds(lo + 1).alias("is_hi"), frac.alias("frac")))
     exploded = (ranked.select(*by, "_v", "_n", F.explode(F.array(*picks)).alias("_k"))
                 .filter(F.col("_k.is_lo") | F.col("_k.is_hi")))
     per = (exploded.groupBy(*by, F.col("_k.name").alias("_name"))
@@ -102,26 +120,6 @@ def exact_quantiles(df: DataFrame, value: str, probs, by: list[str] | None = Non
                             for n in names], *extra)
 
 
-def global_cumsum(df: DataFrame, order_cols: list, weight: str, out: str = "_cum",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Running total of ``weight`` in ``order_cols`` order (inclusive), with the
-    same range-partition + partition-offset scheme as ``global_row_number``;
-    the per-partition window is bounded by the range partition."""
-    n = num_partitions or _num_partitions(df)
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    s = cut_lineage(s)
-    local = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("_local", F.sum(weight).over(local))
-    sizes = s.groupBy("_pid").agg(F.sum(weight).alias("_tot"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_off"))
-    return (s.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_local"))
-            .drop("_pid", "_mid", "_off", "_local"))
-
-
 def exact_quantiles_multi(df: DataFrame, cols: list[str], probs, names: list[str] | None = None) -> DataFrame:
     """Exact quantiles of several columns with ONE distributed sort: the
     columns are stacked into (column_name, value) and ranked per column.
