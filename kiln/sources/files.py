@@ -42,22 +42,34 @@ def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = Fa
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+def known_rows(new: DataFrame, known: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join on ``keys``, null-safe: a null key equals a null key."""
+    other = known.select(*[F.col(k).alias(f"_known_{i}") for i, k in enumerate(keys)])
+    return new.join(other, [new[k].eqNullSafe(other[f"_known_{i}"]) for i, k in enumerate(keys)], how)
+
+
+def read_if_there(read) -> DataFrame | None:
+    """``read()``, or None when its path does not exist; any other error is the caller's."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def extend_history(history: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """A5: history ∪ the new rows whose key is not in history yet (idempotent:
-    re-running with the same batch adds nothing)."""
-    fresh = new.join(history.select(*keys), keys, "left_anti")
-    return history.unionByName(fresh)
+    re-running with the same batch adds nothing, null keys included)."""
+    return history.unionByName(known_rows(new, history, keys, "left_anti"))
 
 
 def union_sources(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> DataFrame | None:
     """Union of whichever sources exist, columns aligned by name (a column
-    missing in one source is null there); None when no source exists."""
-    frames = []
-    for p in paths:
-        try:
-            frames.append(spark.read.format(fmt).load(p))
-        except AnalysisException:  # path does not exist
-            continue
+    missing in one source is null there); None when no source exists.  Only a
+    path that does not exist counts as absent."""
+    found = [read_if_there(lambda p=p: spark.read.format(fmt).load(p)) for p in paths]
+    frames = [f for f in found if f is not None]
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

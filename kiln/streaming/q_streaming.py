@@ -25,15 +25,14 @@ TX_SCHEMA = "customer_id BIGINT, product_id BIGINT, order_id BIGINT, purchase_da
 def s1_stream_ingest(spark, d):
     tx = proxies.transactions(spark, d)
     landing = scratch_path(spark, "landing-tx")
-    # one file per order year, then the 1997 file delivered again under a new name
-    years = [r[0] for r in tx.select(F.year("purchase_date").alias("y")).distinct().orderBy("y").collect()]
-    for i, y in enumerate(years):
-        tx.filter(F.year("purchase_date") == y).coalesce(1).write.parquet(os.path.join(landing, f"part-{i:04d}"))
-    tx.filter(F.year("purchase_date") == 1997).coalesce(1).write.parquet(os.path.join(landing, "part-9999-resent"))
+    # one folder per order year, and 1997 delivered again under a new name: one job, files split by size
+    year = F.year("purchase_date").cast("string")
+    parts = F.when(year == "1997", F.array(year, F.lit("resent"))).otherwise(F.array(year))
+    tx.withColumn("part", F.explode(parts)).hint("rebalance", "part").write.partitionBy("part").parquet(landing)
     landing_glob = os.path.join(landing, "*")
     history = scratch_path(spark, "history-tx")
     q = ingest.ingest_files(spark, landing_glob, history, scratch_path(spark, "ckpt-ingest"), TX_SCHEMA,
-                           event_col="purchase_date")
+                           event_col="purchase_date", files_per_trigger=4)
     q.awaitTermination()
     return ingest.read_history(spark, history, TX_SCHEMA)
 
@@ -47,11 +46,8 @@ WHERE window_start + INTERVAL 7 DAY <= (SELECT max(ts) FROM e) - INTERVAL 1 DAY"
 def s2_stream_weekly_totals(spark, d):
     ev = read_table(spark, d, "events").select("ts", "event_type", "value")
     landing = scratch_path(spark, "landing-events")
-    days = [r[0] for r in ev.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
-    for i, day in enumerate(days):  # one file per day, arriving in order
-        ev.filter(F.to_date("ts") == F.lit(day)).coalesce(1).write.parquet(os.path.join(landing, f"day-{i:05d}"))
-    stream = (spark.readStream.schema("ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE")
-              .option("maxFilesPerTrigger", 1).parquet(os.path.join(landing, "*")))
+    ev.withColumn("day", F.to_date("ts")).hint("rebalance", "day").write.partitionBy("day").parquet(landing)
+    stream = spark.readStream.schema("ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE").parquet(os.path.join(landing, "*"))
     out = scratch_path(spark, "weekly-stream")
     tz = spark.conf.get("spark.sql.session.timeZone")
     parts = spark.conf.get("spark.sql.shuffle.partitions")

@@ -57,3 +57,45 @@ def test_ingest_exactly_once_and_idempotent(spark):
         got = sorted((str(r.ts), r.k, r.v) for r in ingest.read_history(spark, hist, SCHEMA).collect())
         assert got == [("2024-01-01 00:00:00", "a", 1.0), ("2024-02-01 00:00:00", "b", 2.0),
                        ("2024-03-01 00:00:00", "c", 3.0)]
+
+
+def _land(spark, path, rows):
+    spark.createDataFrame(rows, "k long, ts timestamp, v double").coalesce(1).write.parquet(path)
+
+
+SCHEMA3 = "k BIGINT, ts TIMESTAMP, v DOUBLE"
+
+
+def _ingest(spark, land, hist, ckpt):
+    from kiln.streaming.ingest import ingest_files, read_history
+    ingest_files(spark, land, hist, ckpt, SCHEMA3, "ts").awaitTermination()
+    return sorted((r["k"] is None, r["k"], r["v"]) for r in read_history(spark, hist, SCHEMA3).collect())
+
+
+def test_two_landings_into_one_history_and_null_keys(spark, tmp_path):
+    import datetime as dt
+    jan = dt.datetime(2024, 1, 5)
+    a, b, hist = (str(tmp_path / n) for n in ("a", "b", "hist"))
+    _land(spark, f"{a}/1", [(1, jan, 1.0), (None, jan, 9.0), (7, None, 7.0)])
+    first = _ingest(spark, f"{a}/*", hist, str(tmp_path / "ca"))
+    assert first == [(False, 1, 1.0), (False, 7, 7.0), (True, None, 9.0)]
+    _land(spark, f"{b}/1", [(2, jan, 2.0), (None, jan, 9.0), (7, None, 7.0)])
+    both = [(False, 1, 1.0), (False, 2, 2.0), (False, 7, 7.0), (True, None, 9.0)]
+    assert _ingest(spark, f"{b}/*", hist, str(tmp_path / "cb")) == both
+    # a lost checkpoint: batches count from 0 again, old and new files are there
+    _land(spark, f"{a}/2", [(3, jan, 3.0)])
+    assert _ingest(spark, f"{a}/*", hist, str(tmp_path / "lost")) == sorted([*both, (False, 3, 3.0)])
+
+
+def test_absent_means_path_not_found_only(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from kiln.sources.files import extend_history, union_sources
+    good = str(tmp_path / "good")
+    spark.range(3).write.parquet(good)
+    assert union_sources(spark, [good, str(tmp_path / "none")]).count() == 3
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(AnalysisException):
+        union_sources(spark, [good, str(tmp_path / "empty")])
+    h = spark.createDataFrame([(1, "a"), (None, "b")], "k long, v string")
+    assert extend_history(h, h, ["k"]).count() == 2
