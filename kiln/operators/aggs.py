@@ -112,19 +112,10 @@ def group_size(df: DataFrame, key: str | list[str]) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles_by(df: DataFrame, value: str, by: list[str] | None, probs=(0.2, 0.4, 0.6, 0.8),
-                 method: str = "sort") -> DataFrame:
-    """Exact linear quantiles, global or per group.
-
-    ``method='sort'`` (default) ranks by a distributed sort, safe for any group
-    size or value cardinality; ``method='agg'`` uses the ``percentile``
-    aggregate, whose buffer is the distinct values of a group and so fits only
-    when those are bounded (e.g. integral counts)."""
+def quantiles_by(df: DataFrame, value: str, by: list[str] | None, probs=(0.2, 0.4, 0.6, 0.8)) -> DataFrame:
+    """Exact linear quantiles, global or per group, for any group size or
+    value cardinality."""
     names = [f"q{int(round(p * 100))}" for p in probs]
-    if method == "agg":
-        arr = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]))
-        g = df.groupBy(*(by or [])).agg(arr.alias("_q"))
-        return g.select(*(by or []), *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     return exact_quantiles(df, value, probs, by=by, names=names)
 
 

@@ -9,17 +9,6 @@ from pyspark.sql import functions as F
 
 from kiln.functions.text import normalise
 
-# Position codes → position groups of the player-selection lab
-# (codes not listed map to null and their rows are removed).
-POSITION_GROUPS = {
-    "ST": "ataque", "CF": "ataque",
-    "RW": "central_ataque", "CAM": "central_ataque", "LW": "central_ataque",
-    "RM": "central", "CM": "central", "LM": "central",
-    "RWB": "central_defensa", "CDM": "central_defensa", "LWB": "central_defensa",
-    "RB": "defensa", "CB": "defensa", "LB": "defensa",
-    "GK": "arquero",
-}
-
 
 def project(df: DataFrame, keep: list[str] | None = None, drop: list[str] | None = None) -> DataFrame:
     """B1: keep or drop a column list (pruned at the scan by Catalyst)."""

@@ -7,12 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join(fact: DataFrame, dim: DataFrame, on, small: bool = False) -> DataFrame:
-    """Many-to-one left join. ``small=True`` only for a dimension whose
-    size is bounded by construction; otherwise AQE broadcasts it when its
+def left_join(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """Many-to-one left join. AQE broadcasts the dimension when its
     runtime size is under ``spark.sql.autoBroadcastJoinThreshold`` and uses a
     sort-merge join (with skew splitting) when it is not."""
-    return fact.join(F.broadcast(dim) if small else dim, on, "left")
+    return fact.join(dim, on, "left")
 
 
 def inner_join(a: DataFrame, b: DataFrame, on) -> DataFrame:

@@ -12,59 +12,30 @@ PROBS = (0.2, 0.4, 0.6, 0.8)
 LABELS = ("Very Low", "Low", "Medium", "High", "Very High")
 
 
-# The ``percentile`` aggregate keeps a value → count map per group; it is used
-# only when every group's distinct values are at most this many (checked).
-MAX_DISTINCT_FOR_AGG = 1_000_000
-
-
-def _choose(weekly: DataFrame, items: str, by: list[str], method: str) -> str:
-    """'auto' → 'agg' when the whole column has few distinct values (an HLL
-    estimate, ≤ 5 % error, checked against half the limit): a group never has
-    more distinct values than the table, so this bounds every group's buffer.
-    Otherwise 'sort'."""
-    if method != "auto":
-        return method
-    est = weekly.agg(F.approx_count_distinct(F.col(items), 0.05)).first()[0]
-    return "agg" if (est or 0) <= MAX_DISTINCT_FOR_AGG // 2 else "sort"
-
-
 def client_quantiles(weekly: DataFrame, client: str = "customer_id", items: str = "weekly_items",
-                     min_rows: int = 5, method: str = "auto") -> DataFrame:
-    """Per-client q20/q40/q60/q80 for clients with ≥ ``min_rows`` rows.
-
-    ``method='sort'``: exact positions from the distributed sort, so no task
-    holds a client's values whatever their number or cardinality.
-    ``method='agg'``: the ``percentile`` aggregate (count and buffer in one
-    partial/final aggregate), whose buffer is the client's distinct values.
-    ``method='auto'`` (default) checks that bound first (see ``_choose``)."""
+                     min_rows: int = 5) -> DataFrame:
+    """Per-client q20/q40/q60/q80 for clients with ≥ ``min_rows`` rows: exact
+    positions among counted (client, value) pairs, so no task holds a client's
+    values whatever their number or cardinality."""
     names = [f"q{int(p * 100)}" for p in PROBS]
-    base = weekly.filter(F.col(client).isNotNull())
-    if _choose(base, items, [client], method) == "sort":
-        q = exact_quantiles(base, items, PROBS, by=[client], names=names, count_col="_n")
-        return q.filter(F.col("_n") >= min_rows).select(client, *names)
-    arr = F.percentile(F.col(items), F.array(*[F.lit(p) for p in PROBS]))
-    g = (base.groupBy(client).agg(F.count(F.col(items)).alias("_n"), arr.alias("_q"))
-         .filter(F.col("_n") >= min_rows))
-    return g.select(client, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    q = exact_quantiles(weekly.filter(F.col(client).isNotNull()), items, PROBS, by=[client], names=names, count_col="_n")
+    return q.filter(F.col("_n") >= min_rows).select(client, *names)
 
 
-def global_quantiles(weekly: DataFrame, items: str, method: str = "auto"):
+def global_quantiles(weekly: DataFrame, items: str):
     """Whole-table q20…q80 as an array column (scalar subquery)."""
-    if _choose(weekly, items, [], method) == "sort":
-        names = [f"q{int(p * 100)}" for p in PROBS]
-        q = exact_quantiles(weekly, items, PROBS, names=names)
-        return q.select(F.array(*names)).scalar()
-    return weekly.select(F.percentile(F.col(items), F.array(*[F.lit(p) for p in PROBS]))).scalar()
+    names = [f"q{int(p * 100)}" for p in PROBS]
+    return exact_quantiles(weekly, items, PROBS, names=names).select(F.array(*names)).scalar()
 
 
 def assign_priority(weekly: DataFrame, client: str = "customer_id", items: str = "weekly_items",
-                    out: str = "priority", min_rows: int = 5, method: str = "auto") -> DataFrame:
+                    out: str = "priority", min_rows: int = 5) -> DataFrame:
     """Label every row: ≤ q20 Very Low, ≤ q40 Low, ≤ q60 Medium, ≤ q80 High, else
     Very High, using the client's own quantiles when it has ≥ ``min_rows`` rows
     and the global ones otherwise (a null value falls through to Very High,
     like ``np.select``)."""
-    glob = global_quantiles(weekly, items, method)
-    per = client_quantiles(weekly, client, items, min_rows, method)
+    glob = global_quantiles(weekly, items)
+    per = client_quantiles(weekly, client, items, min_rows)
     j = weekly.join(per, client, "left")
     qs = [F.coalesce(F.col(f"q{int(p * 100)}"), glob[i]) for i, p in enumerate(PROBS)]
     x = F.col(items)
@@ -73,11 +44,10 @@ def assign_priority(weekly: DataFrame, client: str = "customer_id", items: str =
     return j.withColumn(out, label).drop(*[f"q{int(p * 100)}" for p in PROBS])
 
 
-def assign_global_priority(weekly: DataFrame, items: str = "weekly_items", out: str = "priority_global",
-                           method: str = "auto") -> DataFrame:
+def assign_global_priority(weekly: DataFrame, items: str = "weekly_items", out: str = "priority_global") -> DataFrame:
     """Baseline label from the global quantiles only (every client treated as
     having too few rows)."""
-    glob = global_quantiles(weekly, items, method)
+    glob = global_quantiles(weekly, items)
     x = F.col(items)
     label = (F.when(x <= glob[0], LABELS[0]).when(x <= glob[1], LABELS[1]).when(x <= glob[2], LABELS[2])
              .when(x <= glob[3], LABELS[3]).otherwise(LABELS[4]))

@@ -130,12 +130,3 @@ class _CastDouble(Model):
 
     def _transform(self, dataset):
         return dataset.withColumns({o: F.col(c).cast("double") for c, o in zip(self.cols, self.outs)})
-
-
-class _CastString(Model):
-    def __init__(self, cols, outs):
-        super().__init__()
-        self.cols, self.outs = cols, outs
-
-    def _transform(self, dataset):
-        return dataset.withColumns({o: F.col(c).cast("string") for c, o in zip(self.cols, self.outs)})

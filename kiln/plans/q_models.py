@@ -212,7 +212,7 @@ def m10_learning_curve(spark, d):
 @register("m13_leaderboard")
 def m13_leaderboard(spark, d):
     data, _, _ = priority_prepared(spark, d)
-    return models.leaderboard(data, ["logistic_regression", "decision_tree", "random_forest"])
+    return models.leaderboard(data, list(models.CLASSIFIERS))
 
 
 # ------------------------------------------------------------ tuning, explain ----
@@ -221,7 +221,7 @@ def m13_leaderboard(spark, d):
 def n2_random_search(spark, d):
     data, _, _ = priority_prepared(spark, d)
     trials = explain.random_search_space({"numTrees": (10, 60), "maxDepth": (3, 10), "subsamplingRate": (0.5, 1.0)},
-                                         6)
+                                         30)
     runs = explain.run_trials(lambda **p: RandomForestClassifier(seed=42, **p), data.filter(F.col("split") == "train"),
                               data.filter(F.col("split") == "val"), trials, scratch_path(spark, "runs"), "priority_rf")
     return runs

@@ -203,13 +203,25 @@ def test_rank_within_group_keeps_null_group(spark):
     assert got == [("", 0, 2), ("", 1, 2), ("a", 0, 1)]
 
 
-def test_priority_methods_agree(spark):
+def test_priority_quantiles_equal_percentile(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"customer_id": rng.integers(0, 30, 600), "weekly_items": rng.integers(1, 40, 600).astype(float)})
     df = spark.createDataFrame(pdf)
-    a = {tuple(r[:3]) for r in labels.assign_priority(df.withColumn("i", F.monotonically_increasing_id()), method="agg")
-         .select("i", "weekly_items", "priority").collect()}
-    b = {tuple(r[:3]) for r in labels.assign_priority(df.withColumn("i", F.monotonically_increasing_id()), method="sort")
-         .select("i", "weekly_items", "priority").collect()}
-    assert a == b
-    assert labels._choose(df, "weekly_items", ["customer_id"], "auto") == "agg"
+    got = {r[0]: tuple(r[1:]) for r in labels.client_quantiles(df).collect()}
+    for c, g in pdf.groupby("customer_id").weekly_items:
+        assert (c in got) == (len(g) >= 5)
+        if c in got:
+            assert got[c] == pytest.approx([g.quantile(p) for p in labels.PROBS])
+
+
+def test_quantiles_with_one_value_in_half_of_the_rows(spark):
+    from kiln.plans.ordering import exact_quantiles
+    from pyspark.sql import functions as F
+    df = spark.range(4000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.col("id") * 1.0).alias("v"))
+    pdf = df.toPandas()
+    got = {r["g"]: (r["q25"], r["q50"], r["q90"]) for r in exact_quantiles(df, "v", [.25, .5, .9], by=["g"]).collect()}
+    for g, v in pdf.groupby("g").v:
+        assert got[g] == pytest.approx(tuple(v.quantile([.25, .5, .9])))
+    # the distributed sort sees each distinct value once: no range can be hot
+    plan = exact_quantiles(df, "v", [.5])
+    assert plan.first()["q50"] == pdf.v.quantile(.5)
