@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -17,6 +19,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -63,9 +66,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), "kiln-tables", f"{name}-{uuid.uuid4().hex}")
+    """A fresh folder under the shared checkpoint folder for written tables;
+    ``clear_scratch`` removes it."""
+    path = os.path.join(checkpoint_dir(spark), "kiln-tables", f"{name}-{uuid.uuid4().hex}")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch tables of this application (results that still read
+    them must be used before)."""
+    sc = spark.sparkContext
+    for path in _scratch.pop(sc.applicationId, []):
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            clear_scratch(spark)
 
 
 def cut_lineage(df):

@@ -225,3 +225,14 @@ def test_quantiles_with_one_value_in_half_of_the_rows(spark):
     # the distributed sort sees each distinct value once: no range can be hot
     plan = exact_quantiles(df, "v", [.5])
     assert plan.first()["q50"] == pdf.v.quantile(.5)
+
+
+def test_scratch_tables_are_removed(spark):
+    import os
+    from kiln.session import clear_scratch, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    clear_scratch(spark)
+    assert not os.path.isdir(local)
