@@ -211,43 +211,45 @@ def fourier_block(df: DataFrame, t: str, blocks: list[tuple[str, float, int]]) -
 
 
 def lag_block_train_mean(df: DataFrame, key: str, order: str, col: str, lags, train_filter) -> DataFrame:
-    """I16: lags of ``col`` with the missing leading values filled by the mean of
-    ``col`` over the train rows only."""
+    """I16: lags of ``col`` inside its series, the missing leading values filled
+    by the mean of ``col`` over the series' train rows only."""
     from kiln.operators.windows import lag_features
-    mean = df.filter(train_filter).select(F.avg(col)).scalar()
+    means = df.filter(train_filter).groupBy(F.col(key).alias("_key")).agg(F.avg(col).alias("_mean"))
     out = lag_features(df, key, order, [col], lags)
-    return out.withColumns({f"{col}_lag{L}": F.coalesce(F.col(f"{col}_lag{L}"), mean) for L in lags})
+    names = [f"{col}_lag{L}" for L in lags]
+    return (out.join(means, F.col(key).eqNullSafe(F.col("_key")), "left")
+            .withColumns({n: F.coalesce(F.col(n), F.col("_mean")) for n in names}).drop("_key", "_mean"))
 
 
-def pacf_lags(df: DataFrame, key: str, order: str, col: str, max_lag: int = 7):
-    """Yule–Walker partial autocorrelations up to ``max_lag`` and the lags
-    with |pacf| > 1.96/√n (at least lag 1).
+def pacf_lags(df: DataFrame, key: str, order: str, col: str, max_lag: int = 7) -> DataFrame:
+    """(key, lag, pacf, selected, bound): Yule–Walker partial
+    autocorrelations per series and the lags with |pacf| > 1.96/√n (lag 1 when
+    there is none).
 
-    The autocovariances come from one aggregate over lag columns; only those
-    ``max_lag + 1`` numbers reach the driver for the Durbin–Levinson recursion."""
+    The autocovariances of all series come from one grouped aggregate over lag
+    columns; the Durbin–Levinson recursion is a chain of column expressions on
+    one row per series.  A constant series has no autocorrelation (null)."""
     from kiln.operators.windows import lag_features
-    n = df.count()
-    mean = df.select(F.avg(col)).scalar()
-    lagged = lag_features(df.withColumn("_x", F.col(col) - mean), key, order, ["_x"], range(1, max_lag + 1))
-    r = lagged.agg(*[F.sum(F.col("_x") * F.col(f"_x_lag{k}") if k else F.col("_x") * F.col("_x")).alias(f"g{k}")
-                     for k in range(max_lag + 1)]).first()
-    gamma = [r[f"g{k}"] / n for k in range(max_lag + 1)]
-    rho = [g / gamma[0] for g in gamma]
-    pacf, phi_prev = [1.0], []
-    for k in range(1, max_lag + 1):
-        if k == 1:
-            phi_kk = rho[1]
-            phi = [phi_kk]
-        else:
-            num = rho[k] - sum(phi_prev[j] * rho[k - 1 - j] for j in range(k - 1))
-            den = 1.0 - sum(phi_prev[j] * rho[j + 1] for j in range(k - 1))
-            phi_kk = num / den
-            phi = [phi_prev[j] - phi_kk * phi_prev[k - 2 - j] for j in range(k - 1)] + [phi_kk]
-        pacf.append(phi_kk)
-        phi_prev = phi
-    bound = 1.96 / n ** 0.5
-    chosen = [k for k in range(1, max_lag + 1) if abs(pacf[k]) > bound] or [1]
-    return pacf, chosen, bound
+    means = df.groupBy(F.col(key).alias("_key")).agg(F.avg(col).alias("_mean"))
+    centred = (df.join(means, F.col(key).eqNullSafe(F.col("_key")))
+               .select(key, order, (F.col(col) - F.col("_mean")).alias("_x")))
+    lagged = lag_features(centred, key, order, ["_x"], range(1, max_lag + 1))
+    g = lagged.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.col("_x") * (F.col(f"_x_lag{k}") if k else F.col("_x"))).alias(f"g{k}") for k in range(max_lag + 1)])
+    g = g.select(key, "n", *[(F.col(f"g{k}") / F.nullif(F.col("g0"), F.lit(0.0))).alias(f"r{k}") for k in range(1, max_lag + 1)])
+    for k in range(1, max_lag + 1):  # p{k}_{j}: coefficient j of the order-k model
+        num, den = F.col(f"r{k}"), F.lit(1.0)
+        for j in range(1, k):
+            num = num - F.col(f"p{k - 1}_{j}") * F.col(f"r{k - j}")
+            den = den - F.col(f"p{k - 1}_{j}") * F.col(f"r{j}")
+        g = g.withColumn(f"p{k}_{k}", num / F.nullif(den, F.lit(0.0)))
+        g = g.withColumns({f"p{k}_{j}": F.col(f"p{k - 1}_{j}") - F.col(f"p{k}_{k}") * F.col(f"p{k - 1}_{k - j}") for j in range(1, k)})
+    bound = F.lit(1.96) / F.sqrt("n")
+    lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"p{k}_{k}").alias("pacf")) for k in range(1, max_lag + 1)])
+    some = F.exists(lags, lambda x: F.abs(x["pacf"]) > bound)
+    rows = g.select(key, bound.alias("bound"), F.coalesce(some, F.lit(False)).alias("_some"), F.explode(lags).alias("_l"))
+    chosen = F.when(F.col("_some"), F.coalesce(F.abs("_l.pacf") > F.col("bound"), F.lit(False))).otherwise(F.col("_l.lag") == 1)
+    return rows.select(key, "_l.lag", "_l.pacf", chosen.alias("selected"), "bound")
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

@@ -7,56 +7,74 @@ weekly Fourier terms, exogenous regressors and lag terms."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.mathx import fourier_terms
-from kiln.operators import metrics, models
+from kiln.operators import metrics
 from kiln.operators.features import lag_block_train_mean
+from kiln.operators.windows import elapsed_days
+from kiln.session import ship
 
 
-def trend_fit(df: DataFrame, t: str, y: str) -> DataFrame:
-    """K9: least-squares line y = a + b·t (``regr_slope`` / ``regr_intercept``)."""
-    return df.agg(F.regr_slope(y, t).alias("slope"), F.regr_intercept(y, t).alias("intercept"))
+def trend_fit(df: DataFrame, t: str, y: str, key: str | None = None) -> DataFrame:
+    """K9: least-squares line y = a + b·t (``regr_slope`` / ``regr_intercept``), per series with ``key``."""
+    return df.groupBy(*([key] if key else [])).agg(F.regr_slope(y, t).alias("slope"), F.regr_intercept(y, t).alias("intercept"))
 
 
-def design(df: DataFrame, t: str = "t", changepoints: list[float] | None = None, yearly: int = 10,
-           weekly: int = 3, regressors: list[str] | None = None, lags: list[str] | None = None):
-    """Additive design columns; returns (frame, column names)."""
-    cols = [F.col(t).cast("double").alias("trend")]
-    for j, c in enumerate(changepoints or []):
-        cols.append(F.greatest(F.col(t) - F.lit(float(c)), F.lit(0.0)).alias(f"cp{j}"))
-    if yearly:
-        cols += fourier_terms(F.col(t), 365.25, yearly, "yearly")
-    if weekly:
-        cols += fourier_terms(F.col(t), 7.0, weekly, "weekly")
-    out = df.select("*", *cols)
-    names = ["trend"] + [f"cp{j}" for j in range(len(changepoints or []))]
-    names += [f"yearly_{f}{k}" for k in range(1, yearly + 1) for f in ("sin", "cos")]
-    names += [f"weekly_{f}{k}" for k in range(1, weekly + 1) for f in ("sin", "cos")]
-    return out, names + list(regressors or []) + list(lags or [])
+def design(t, changepoints, yearly: int, weekly: int):
+    """The additive terms of a vector of days: trend, hinges, yearly and weekly Fourier columns."""
+    cols = [t] + [np.maximum(t - c, 0.0) for c in changepoints]
+    for period, order in ((365.25, yearly), (7.0, weekly)):
+        for k in range(1, order + 1):
+            cols += [np.sin(2 * np.pi * k * t / period), np.cos(2 * np.pi * k * t / period)]
+    return np.column_stack(cols)
+
+
+def ridge(x, y, reg: float):
+    """(coefficients, intercept) of least squares with an L2 penalty on the
+    coefficients of standardised columns; constant columns get 0."""
+    mean, std = x.mean(0), x.std(0)
+    use = std > 1e-12
+    z = (x[:, use] - mean[use]) / std[use]
+    scale = y.std() or 1.0
+    a = z.T @ z / len(y) + reg * np.eye(z.shape[1])
+    b = np.zeros(x.shape[1])
+    b[use] = np.linalg.lstsq(a, z.T @ ((y - y.mean()) / scale) / len(y), rcond=None)[0] * scale / std[use]
+    return b, y.mean() - mean @ b
 
 
 def additive_forecast(series: DataFrame, cutoff: str, n_changepoints: int = 25, yearly: int = 10,
                       weekly: int = 3, regressors: list[str] | None = None, lags: list[int] | None = None,
                       reg: float = 0.01, multiplicative: bool = False, y: str = "y") -> DataFrame:
-    """Fit on ds ≤ cutoff, predict every row; returns (series_id, ds, split, y, yhat)."""
-    start = series.select(F.min("ds")).scalar()
-    s = series.withColumn("t", F.datediff("ds", start).cast("double"))
+    """Fit every series on its ds ≤ cutoff, predict every row; returns
+    (series_id, ds, split, y, yhat).  A series is one group, bounded by the
+    calendar (a row per day); a series without train rows predicts null."""
+    ship(series.sparkSession)
+    s = elapsed_days(series, "ds", "t", key="series_id").withColumn("t", F.col("t").cast("double"))
     s = s.withColumn("split", F.when(F.col("ds") <= F.lit(cutoff).cast("date"), "train").otherwise("test"))
-    lag_cols = []
+    extra = list(regressors or [])
     if lags:
         s = lag_block_train_mean(s, "series_id", "ds", y, lags, F.col("split") == "train")
-        lag_cols = [f"{y}_lag{L}" for L in lags]
-    t_end = s.filter(F.col("split") == "train").select(F.max("t")).first()[0]
-    cps = [0.8 * t_end * (j + 1) / (n_changepoints + 1) for j in range(n_changepoints)]
-    d, names = design(s, "t", cps, yearly, weekly, regressors, lag_cols)
-    target = F.log(F.col(y)) if multiplicative else F.col(y)
-    d = models.assemble(d.withColumn("_target", target), names)
-    model = models.linear_regression(d.filter(F.col("split") == "train"), "_target", reg=reg)
-    p = model.transform(d)
-    yhat = F.exp(F.col("prediction")) if multiplicative else F.col("prediction")
-    return p.select("series_id", "ds", "split", y, yhat.alias("yhat"))
+        extra += [f"{y}_lag{L}" for L in lags]
+
+    def fit(rows):
+        train = (rows["split"] == "train").to_numpy()
+        t, target = rows["t"].to_numpy(float), rows[y].to_numpy(float)
+        yhat = np.full(len(rows), np.nan)
+        if train.any():
+            end = t[train].max()
+            x = design(t, [0.8 * end * (j + 1) / (n_changepoints + 1) for j in range(n_changepoints)], yearly, weekly)
+            if extra:
+                x = np.column_stack([x, rows[extra].to_numpy(float)])
+            b, b0 = ridge(x[train], np.log(target[train]) if multiplicative else target[train], reg)
+            yhat = x @ b + b0
+            yhat = np.exp(yhat) if multiplicative else yhat
+        return rows[["series_id", "ds", "split", y]].assign(yhat=yhat)
+
+    kinds = ", ".join(f"`{c}` {series.schema[c].dataType.simpleString()}" for c in ("series_id", "ds"))
+    return (s.select("series_id", "ds", "split", "t", y, *extra).groupBy("series_id")
+            .applyInPandas(fit, f"{kinds}, split string, `{y}` {series.schema[y].dataType.simpleString()}, yhat double"))
 
 
 def forecast_mae(pred: DataFrame) -> DataFrame:
@@ -64,12 +82,12 @@ def forecast_mae(pred: DataFrame) -> DataFrame:
 
 
 def grid_search(series: DataFrame, cutoff: str, grid: list[dict], **fixed) -> DataFrame:
-    """One fit per parameter combination on the cut-off split; validation
-    MAE per combination, best first."""
-    spark = series.sparkSession
-    rows = []
+    """Every parameter combination on the cut-off split; validation MAE per
+    combination, best first.  All combinations are one job over the same
+    series: the trials' errors are summed in one union."""
+    errors = None
     for i, params in enumerate(grid):
         pred = additive_forecast(series, cutoff, **{**fixed, **params})
-        m = forecast_mae(pred).first()["mae"]
-        rows.append((i, str(sorted(params.items())), float(m)))
-    return spark.createDataFrame(rows, "trial INT, params STRING, mae DOUBLE").orderBy("mae")
+        m = forecast_mae(pred).select(F.lit(i).alias("trial"), F.lit(str(sorted(params.items()))).alias("params"), "mae")
+        errors = m if errors is None else errors.unionByName(m)
+    return errors.orderBy("mae", "trial")

@@ -65,10 +65,15 @@ def top_n(df: DataFrame, key: str | list[str], order: list, n: int, rank_col: st
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
-def elapsed_days(df: DataFrame, date: str, out: str = "t") -> DataFrame:
-    """E5: days since the first date of the table (scalar subquery)."""
-    start = df.select(F.min(F.to_date(F.col(date)))).scalar()
-    return df.withColumn(out, F.datediff(F.to_date(F.col(date)), start))
+def elapsed_days(df: DataFrame, date: str, out: str = "t", key: str | None = None) -> DataFrame:
+    """E5: days since the first date, of the table or of the row's ``key`` series
+    (partial minimum per series, joined back)."""
+    day = F.to_date(F.col(date))
+    if key is None:
+        return df.withColumn(out, F.datediff(day, df.select(F.min(day)).scalar()))
+    first = df.groupBy(F.col(key).alias("_key")).agg(F.min(day).alias("_first"))
+    return (df.join(first, F.col(key).eqNullSafe(F.col("_key")))
+            .select(*df.columns, F.datediff(day, F.col("_first")).alias(out)))
 
 
 def sorted_head(df: DataFrame, order: list, n: int) -> DataFrame:

@@ -8,7 +8,7 @@ from kiln.operators import aggs, features as ft, splits as sp
 from kiln.plans.common import round_doubles, sql_round
 from kiln.plans.q_core import SQL_CLIENT_P, client_pending
 from kiln.plans.registry import register
-from kiln.plans.sqlparts import SQL_DAILY, SQL_RATINGS, SQL_TX, WEEKLY_CTES, with_ctes
+from kiln.plans.sqlparts import SQL_DAILY, SQL_PANEL, SQL_RATINGS, SQL_TX, WEEKLY_CTES, with_ctes
 from kiln.sources import proxies
 from kiln.sources.tables import read_table
 
@@ -129,22 +129,35 @@ def i13_fourier_block(spark, d):
 _LAGS = range(1, 8)
 
 
-@register("i16_lags_train_mean", sql_round(with_ctes(SQL_DAILY) + "SELECT ds, y, " + ", ".join(
-    f"coalesce(lag(y, {L}) OVER (PARTITION BY series_id ORDER BY ds), "
-    f"(SELECT avg(y) FROM daily WHERE ds <= DATE '2000-02-29')) AS y_lag{L}" for L in _LAGS) + " FROM daily",
-    ["y"] + [f"y_lag{L}" for L in _LAGS]))
+@register("i16_lags_train_mean", sql_round(with_ctes(SQL_PANEL) + "SELECT p.series_id, ds, y, " + ", ".join(
+    f"coalesce(lag(y, {L}) OVER (PARTITION BY p.series_id ORDER BY ds), m.mu) AS y_lag{L}" for L in _LAGS) + """ FROM panel p
+LEFT JOIN (SELECT series_id, avg(y) AS mu FROM panel WHERE ds <= DATE '2000-02-29' GROUP BY series_id) m
+  ON p.series_id IS NOT DISTINCT FROM m.series_id""", ["y"] + [f"y_lag{L}" for L in _LAGS], 4))
 def i16_lags_train_mean(spark, d):
-    s = proxies.daily_series(spark, d).select("series_id", "ds", "y")
-    out = ft.lag_block_train_mean(s, "series_id", "ds", "y", _LAGS, F.col("ds") <= F.lit("2000-02-29").cast("date"))
-    return round_doubles(out.drop("series_id"))
-
-
-@register("i17_pacf_lags")
+    out = ft.lag_block_train_mean(proxies.daily_panel(spark, d), "series_id", "ds", "y", _LAGS,
+                                  F.col("ds") <= F.lit("2000-02-29").cast("date"))
+    return round_doubles(out, 4)
+
+
+_PACF_STEPS = ["q1 AS (SELECT series_id, n, r, [r[1]] AS phi, [r[1]] AS pacf FROM rho)"]
+for _k in range(2, 8):
+    _kk = (f"((r[{_k}] - list_sum([phi[j] * r[{_k} - j] for j in range(1, {_k})])) "
+           f"/ (1 - list_sum([phi[j] * r[j] for j in range(1, {_k})])))")
+    _PACF_STEPS.append(f"""s{_k} AS (SELECT *, {_kk} AS kk FROM q{_k - 1}),
+q{_k} AS (SELECT series_id, n, r, list_append([phi[j] - kk * phi[{_k} - j] for j in range(1, {_k})], kk) AS phi,
+  list_append(pacf, kk) AS pacf FROM s{_k})""")
+
+
+@register("i17_pacf_lags", sql_round(with_ctes(SQL_PANEL) + """
+, c AS (SELECT series_id, ds, y - avg(y) OVER (PARTITION BY series_id) AS x FROM panel),
+l AS (SELECT series_id, x, """ + ", ".join(f"lag(x, {k}) OVER (PARTITION BY series_id ORDER BY ds) AS l{k}" for k in range(1, 8)) + """ FROM c),
+rho AS (SELECT series_id, count(*) AS n, [""" + ", ".join(f"sum(x * l{k}) / sum(x * x)" for k in range(1, 8)) + """] AS r FROM l GROUP BY series_id),
+""" + ",\n".join(_PACF_STEPS) + """,
+e AS (SELECT series_id, n, unnest(range(1, 8)) AS lag, unnest(pacf) AS pacf, 1.96 / sqrt(n) AS bound FROM q7)
+SELECT series_id, CAST(lag AS INTEGER) AS lag, pacf, CASE WHEN max(abs(pacf)) OVER (PARTITION BY series_id) > bound
+  THEN abs(pacf) > bound ELSE lag = 1 END AS selected, bound FROM e""", ["pacf", "bound"]))
 def i17_pacf_lags(spark, d):
-    s = proxies.daily_series(spark, d).select("series_id", "ds", "y")
-    pacf, chosen, bound = ft.pacf_lags(s, "series_id", "ds", "y", 7)
-    rows = [(k, float(pacf[k]), k in chosen, float(bound)) for k in range(1, len(pacf))]
-    return spark.createDataFrame(rows, "lag INT, pacf DOUBLE, selected BOOLEAN, bound DOUBLE")
+    return round_doubles(ft.pacf_lags(proxies.daily_panel(spark, d), "series_id", "ds", "y", 7))
 
 
 @register("i18_class_weights", sql_round("""

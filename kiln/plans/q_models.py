@@ -15,7 +15,7 @@ from kiln.operators.clean import hash_sample
 from kiln.operators.splits import ordered_holdout, stratified_folds
 from kiln.plans.common import round_doubles, sql_round
 from kiln.plans.registry import register
-from kiln.plans.sqlparts import LABELLED_CTES, SQL_DAILY, with_ctes
+from kiln.plans.sqlparts import LABELLED_CTES, SQL_PANEL, with_ctes
 from kiln.plans.weekly import weekly_priority
 from kiln.session import scratch_path
 from kiln.sources import proxies
@@ -82,16 +82,17 @@ def k7_gbt_regression(spark, d):
     return p.groupBy("split").agg(F.avg(F.abs(F.col("weekly_items") - F.col("prediction"))).alias("mae"))
 
 
-SQL_TRAIN_T = """tt AS (SELECT y, CAST(datediff('day', (SELECT min(ds) FROM daily), ds) AS DOUBLE) AS t, ds FROM daily)"""
+SQL_TRAIN_T = """tt AS (SELECT series_id, y, CAST(datediff('day', min(ds) OVER (PARTITION BY series_id), ds) AS DOUBLE) AS t, ds FROM panel)"""
 
 
-@register("k9_linear_trend", sql_round(with_ctes(SQL_DAILY, SQL_TRAIN_T) + """
-SELECT regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept FROM tt WHERE ds <= DATE '2000-02-29'""",
-    ["slope", "intercept"], 4))
+@register("k9_linear_trend", sql_round(with_ctes(SQL_PANEL, SQL_TRAIN_T) + """
+SELECT series_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept FROM tt WHERE ds <= DATE '2000-02-29'
+GROUP BY series_id""", ["slope", "intercept"], 4))
 def k9_linear_trend(spark, d):
-    s = proxies.daily_series(spark, d)
-    s = s.withColumn("t", F.datediff("ds", s.select(F.min("ds")).scalar()).cast("double"))
-    return round_doubles(forecast.trend_fit(s.filter(F.col("ds") <= F.lit("2000-02-29").cast("date")), "t", "y"), 4)
+    from kiln.operators.windows import elapsed_days
+    s = elapsed_days(proxies.daily_panel(spark, d), "ds", key="series_id").withColumn("t", F.col("t").cast("double"))
+    train = s.filter(F.col("ds") <= F.lit("2000-02-29").cast("date"))
+    return round_doubles(forecast.trend_fit(train, "t", "y", key="series_id"), 4)
 
 
 @register("k10_seasonal_regression")

@@ -8,7 +8,7 @@ from kiln.operators import lrmfp as lr
 from kiln.operators import windows as wn
 from kiln.plans.common import round_doubles, sql_round
 from kiln.plans.registry import register
-from kiln.plans.sqlparts import SQL_DAILY, SQL_RATINGS, SQL_RETAIL, SQL_TX, with_ctes
+from kiln.plans.sqlparts import SQL_DAILY, SQL_PANEL, SQL_RATINGS, SQL_RETAIL, SQL_TX, with_ctes
 from kiln.sources import proxies
 from kiln.sources.tables import read_table
 
@@ -62,6 +62,12 @@ def e5_elapsed_days(spark, d):
     return wn.elapsed_days(proxies.daily_series(spark, d).select("ds"), "ds")
 
 
+@register("e5_elapsed_days_panel", with_ctes(SQL_PANEL) + """
+SELECT series_id, ds, CAST(datediff('day', min(ds) OVER (PARTITION BY series_id), ds) AS INTEGER) AS t FROM panel""")
+def e5_elapsed_days_panel(spark, d):
+    return wn.elapsed_days(proxies.daily_panel(spark, d).select("series_id", "ds"), "ds", key="series_id")
+
+
 @register("e7_sorted_head", sql_round(with_ctes(SQL_TX) + """
 SELECT product_id, avg(items) AS mean_items, count(*) AS n FROM tx GROUP BY product_id HAVING count(*) >= 35
 ORDER BY mean_items DESC, n DESC, product_id LIMIT 10""", ["mean_items"]))

@@ -1,6 +1,6 @@
 """SQL fragments shared by the DuckDB oracles (mirror of the proxy builders)."""
 
-from kiln.sources.proxies import SQL_CLIENTS, SQL_DAILY, SQL_PRODUCTS, SQL_RATINGS, SQL_RETAIL, SQL_TX, with_ctes
+from kiln.sources.proxies import SQL_CLIENTS, SQL_DAILY, SQL_PANEL, SQL_PRODUCTS, SQL_RATINGS, SQL_RETAIL, SQL_TX, with_ctes
 
 SQL_WEEKLY_FACT = """wf AS (
   SELECT customer_id, CAST(week(purchase_date) AS INTEGER) AS week, product_id,

@@ -7,6 +7,7 @@ import contextlib
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -94,6 +95,27 @@ def _clear_at_exit() -> None:
             clear_scratch(spark)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, as
+    ``--py-files`` would: their search path need not hold the repository."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="kiln-src-"), "kiln_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint (never ``localCheckpoint``): the result is written to
     the shared folder, so a lost executor does not force a recompute of the

@@ -100,6 +100,18 @@ def daily_series(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("series_id", F.lit("all")))
 
 
+def daily_panel(spark: SparkSession, d: str) -> DataFrame:
+    """The daily series of every order priority: (series_id, ds, y)."""
+    od = read_table(spark, d, "orders")
+    return (od.groupBy(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("ds"))
+            .agg(F.sum("o_totalprice").alias("y")))
+
+
+SQL_PANEL = """panel AS (
+  SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS ds, sum(o_totalprice) AS y
+  FROM orders GROUP BY o_orderpriority, CAST(o_orderdate AS DATE))"""
+
+
 SQL_DAILY = """daily AS (
   SELECT CAST(o_orderdate AS DATE) AS ds, sum(o_totalprice) AS y, avg(o_totalprice) AS x_price,
          CAST(count(*) AS DOUBLE) AS x_orders, 'all' AS series_id

@@ -236,3 +236,19 @@ def test_scratch_tables_are_removed(spark):
     assert os.path.isdir(local)
     clear_scratch(spark)
     assert not os.path.isdir(local)
+
+
+def test_forecast_and_lags_are_per_series(spark):
+    import datetime as dt
+    from kiln.operators import features, forecast
+    rows = [(s, dt.date(2024, 1, 1) + dt.timedelta(days=i), base + 2.0 * i) for s, base in (("a", 8.0), ("b", 1008.0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "series_id string, ds date, y double")
+    p = forecast.additive_forecast(df, "2024-02-15", n_changepoints=0, yearly=0, weekly=0, reg=0.0).toPandas()
+    assert np.allclose(p.yhat, p.y)  # each series has its own level
+    lag = features.lag_block_train_mean(df, "series_id", "ds", "y", [1], F.col("ds") <= F.lit("2024-01-10").cast("date")).toPandas()
+    first = lag.sort_values("ds").groupby("series_id").first().y_lag1
+    assert first["a"] == pytest.approx(8 + 9) and first["b"] == pytest.approx(1008 + 9)
+    pacf = features.pacf_lags(df, "series_id", "ds", "y", 3).toPandas()
+    assert np.allclose(pacf[pacf.series_id == "a"].sort_values("lag").pacf, pacf[pacf.series_id == "b"].sort_values("lag").pacf)
+    grid = forecast.grid_search(df, "2024-02-15", [{"reg": 0.0}, {"reg": 10.0}], n_changepoints=0, yearly=0, weekly=0).toPandas()
+    assert grid.trial.tolist() == [0, 1]
