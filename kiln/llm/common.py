@@ -3,41 +3,17 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.session import scratch_path
+from kiln.session import scratch_path, ship  # noqa: F401  (ship: for the queries)
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, as
-    ``--py-files`` would: their search path need not hold the repository."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    _shipped.add(sc.applicationId)
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="kiln-src-"), "kiln_src.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for n in names:
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
