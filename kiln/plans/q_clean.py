@@ -196,12 +196,17 @@ def g1_union_all(spark, d):
     return sets.union_all([a, b])
 
 
+def _order_halves(spark, d):
+    """All dated orders, before and from the middle of 1998."""
+    o, cut = read_table(spark, d, "orders"), F.lit("1998-07-01").cast("date")
+    return o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut)
+
+
 @register("g2_union_distinct", """
-SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1996
-UNION SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1997""")
+SELECT o_custkey FROM orders WHERE o_orderdate < DATE '1998-07-01'
+UNION SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '1998-07-01'""")
 def g2_union_distinct(spark, d):
-    o = read_table(spark, d, "orders")
-    return sets.union_distinct([o.filter(F.year("o_orderdate") == y).select("o_custkey") for y in (1996, 1997)])
+    return sets.union_distinct([o.select("o_custkey") for o in _order_halves(spark, d)])
 
 
 @register("g3_precedence_union", """
@@ -216,11 +221,10 @@ def g3_precedence_union(spark, d):
 
 
 @register("g4_set_difference", """
-SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1996
-EXCEPT ALL SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1997""")
+SELECT o_custkey FROM orders WHERE o_orderdate < DATE '1998-07-01'
+EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '1998-07-01'""")
 def g4_set_difference(spark, d):
-    o = read_table(spark, d, "orders")
-    a, b = (o.filter(F.year("o_orderdate") == y).select("o_custkey") for y in (1996, 1997))
+    a, b = (o.select("o_custkey") for o in _order_halves(spark, d))
     return sets.difference(a, b, keep_duplicates=True)
 
 

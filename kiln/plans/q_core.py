@@ -289,6 +289,26 @@ def d16_duplicate_keys(spark, d):
     return aggs.duplicate_rows(tx, ["customer_id", "product_id", "day"])
 
 
+@register("d16_consistency_counts", with_ctes(SQL_TX) + """
+, visits AS (SELECT o.o_custkey, count(DISTINCT CAST(l.l_shipdate AS DATE)) AS deliveries,
+    count(DISTINCT CAST(o.o_orderdate AS DATE)) AS visits
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY 1)
+SELECT (SELECT count(*) FROM visits WHERE deliveries > visits) AS n_deliveries_over_visits,
+  (SELECT count(DISTINCT p_partkey) FROM part WHERE p_size > 5) AS n_products_over_size,
+  (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
+    SELECT customer_id, product_id, CAST(purchase_date AS DATE) AS day, count(*) AS n FROM tx GROUP BY 1, 2, 3)) AS n_duplicates""")
+def d16_consistency_counts(spark, d):
+    """All three checks: customers with more delivery days than order days, distinct
+    products above size 5, surplus (client, product, day) rows."""
+    li = read_table(spark, d, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("ship"))
+    od = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"))
+    per = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey")
+           .agg(F.count_distinct("ship").alias("deliveries"), F.count_distinct("day").alias("visits")))
+    over = per.agg(F.count_if(F.col("deliveries") > F.col("visits")).alias("n_deliveries_over_visits"))
+    sized = read_table(spark, d, "part").filter(F.col("p_size") > 5).agg(F.count_distinct("p_partkey").alias("n"))
+    return over.withColumns({"n_products_over_size": sized.scalar(), "n_duplicates": d16_duplicate_keys(spark, d).scalar()})
+
+
 @register("d17_duplicate_rows", """
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates FROM (
   SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ALL)""")

@@ -341,11 +341,18 @@ def n9_greedy_rule(spark, d):
     return explain.rule_stats(lab, rule, target).withColumn("rule", F.lit(" AND ".join(chosen)))
 
 
-_P = ("(SELECT o_totalprice AS v FROM orders WHERE year(o_orderdate) = {y} AND o_totalprice IS NOT NULL)")
+_P = ("(SELECT o_totalprice AS v FROM orders WHERE o_orderdate {op} DATE '1998-07-01' AND o_totalprice IS NOT NULL)")
+
+
+def _periods(spark, d):
+    """All dated orders, before and from the middle of 1998."""
+    from kiln.sources.tables import read_table
+    o, cut = read_table(spark, d, "orders"), F.lit("1998-07-01").cast("date")
+    return o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut)
 
 
 @register("n10_psi", sql_round(f"""
-WITH a AS {_P.format(y=1996)}, b AS {_P.format(y=1999)}, r AS (SELECT min(v) AS lo, max(v) AS hi FROM a),
+WITH a AS {_P.format(op='<')}, b AS {_P.format(op='>=')}, r AS (SELECT min(v) AS lo, max(v) AS hi FROM a),
 u AS (SELECT v, 0 AS p FROM a UNION ALL SELECT v, 1 AS p FROM b),
 c AS (SELECT CAST(least(greatest(floor((v - lo) * 10 / (hi - lo)), 0), 9) AS INTEGER) AS bin,
              count_if(p = 0) AS na, count_if(p = 1) AS nb FROM u, r GROUP BY 1)
@@ -353,36 +360,30 @@ SELECT sum((greatest(nb / (SELECT count(*) FROM b), 1e-6) - greatest(na / (SELEC
        * ln(greatest(nb / (SELECT count(*) FROM b), 1e-6) / greatest(na / (SELECT count(*) FROM a), 1e-6))) AS psi
 FROM c""", ["psi"]))
 def n10_psi(spark, d):
-    from kiln.sources.tables import read_table
-    o = read_table(spark, d, "orders")
-    a, b = (o.filter(F.year("o_orderdate") == y) for y in (1996, 1999))
+    a, b = _periods(spark, d)
     return round_doubles(drift.psi(a, b, "o_totalprice"))
 
 
 @register("n10_ks", sql_round(f"""
-WITH a AS {_P.format(y=1996)}, b AS {_P.format(y=1999)},
+WITH a AS {_P.format(op='<')}, b AS {_P.format(op='>=')},
 per AS (SELECT v, count_if(p = 0) AS ca, count_if(p = 1) AS cb FROM (SELECT v, 0 AS p FROM a UNION ALL
         SELECT v, 1 AS p FROM b) GROUP BY v)
 SELECT max(abs(fa / (SELECT count(*) FROM a) - fb / (SELECT count(*) FROM b))) AS ks FROM (
   SELECT sum(ca) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fa,
          sum(cb) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fb FROM per)""", ["ks"]))
 def n10_ks(spark, d):
-    from kiln.sources.tables import read_table
-    o = read_table(spark, d, "orders")
-    a, b = (o.filter(F.year("o_orderdate") == y) for y in (1996, 1999))
+    a, b = _periods(spark, d)
     return round_doubles(drift.ks_statistic(a, b, "o_totalprice"))
 
 
 @register("n10_chi_square", sql_round("""
-WITH u AS (SELECT o_orderpriority AS c, CASE WHEN year(o_orderdate) = 1996 THEN 0 ELSE 1 END AS p FROM orders
-           WHERE year(o_orderdate) IN (1996, 1999) AND o_orderpriority IS NOT NULL),
+WITH u AS (SELECT o_orderpriority AS c, CASE WHEN o_orderdate < DATE '1998-07-01' THEN 0 ELSE 1 END AS p FROM orders
+           WHERE o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL),
 t AS (SELECT c, count_if(p = 0) AS oa, count_if(p = 1) AS ob FROM u GROUP BY c),
 n AS (SELECT count_if(p = 0) AS na, count_if(p = 1) AS nb FROM u)
 SELECT sum(pow(oa - (oa + ob) * na / (na + nb), 2) / ((oa + ob) * na / (na + nb))
          + pow(ob - (oa + ob) * nb / (na + nb), 2) / ((oa + ob) * nb / (na + nb))) AS chi2,
        count(*) - 1 AS dof FROM t, n""", ["chi2"]))
 def n10_chi_square(spark, d):
-    from kiln.sources.tables import read_table
-    o = read_table(spark, d, "orders")
-    a, b = (o.filter(F.year("o_orderdate") == y) for y in (1996, 1999))
+    a, b = _periods(spark, d)
     return round_doubles(drift.chi_square(a, b, "o_orderpriority"))
