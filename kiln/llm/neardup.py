@@ -8,14 +8,14 @@ densification, banded buckets, star-shaped candidate edges, exact confirmation.
    random order of its own (optimal densification).
 2. Documents with equal sets form a class; only its smallest doc_id goes on, so
    a thousand copies cost one entry.
-3. Members of a band bucket are paired with one centre of the bucket, a
-   different pseudo-random one per bucket: pairs grow with the number of
-   members, never with its square, and a document meets up to BANDS centres.
+3. Members of a band bucket are paired with the bucket's hub, a different
+   pseudo-random member in every bucket: pairs grow with the number of members,
+   never with its square, and a document meets up to BANDS hubs.
 4. Pairs are confirmed on the full shingle sets (``100 * inter >= 75 * union``).
-5. Links are contracted to connected components.  In a bucket whose members are
-   then still spread over several components, up to eight members outside the
-   centre's component become centres too and meet all members of other
-   components; links and components are brought up to date.
+5. Links are contracted to connected components.  Members that their bucket's
+   hub has not settled go into finer buckets, of every two bands they share
+   with others, and meet one settled member of each (or another open one): up
+   to 496 hubs, the more alike the likelier.
 
 At a similarity of 0.75 a pair shares no bucket with probability
 (1 - 0.75**4)**32, about 5e-6.
@@ -36,8 +36,6 @@ from kiln.llm.url_filter import MAX_BLOCKS, _block, _mask, bloom_filter
 from kiln.session import cut_lineage
 
 BANDS, ROWS, WIDTH, PERCENT = 32, 4, 5, 75
-#: Centres that a bucket gets in the first turn, and in the second among the members the first has not settled.
-CENTRES = (1, 8)
 _BINS = BANDS * ROWS
 _MASK = (1 << 64) - 1
 
@@ -178,15 +176,36 @@ def components(links: DataFrame) -> DataFrame:
     return nodes
 
 
-def star_pairs(members: DataFrame, turn: int, centres: int) -> DataFrame:
-    """Candidate pairs of the buckets: (key, rep, comp, open) rows in, some open
-    members of each bucket against its members of other components out.  A
-    bucket's centres come first in an order of its own; a group limit keeps
-    all but them out of the shuffle."""
-    first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("rep", "key", F.lit(turn)), "rep"))
-    hubs = (members.filter("open").withColumn("_nth", first).filter(F.col("_nth") <= centres)
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Candidate pairs of buckets: (key, rep, comp, open) rows in, one hub per
+    bucket against its open members of other components out.  The hub is a
+    settled member if there is one, the first in an order of the bucket's own;
+    a group limit keeps all other members out of the shuffle."""
+    first = F.row_number().over(Window.partitionBy("key").orderBy("open", F.xxhash64("rep", "key"), "rep"))
+    hubs = (members.withColumn("_nth", first).filter(F.col("_nth") == 1)
             .select("key", F.col("rep").alias("hub"), F.col("comp").alias("hub_comp")))
-    return members.join(hubs, "key").filter("comp <> hub_comp")
+    return (members.filter("open").join(hubs, "key").filter("comp <> hub_comp")
+            .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
+
+
+def unsettled(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """The members of the buckets of three or more that still hold several
+    components; open are those outside the component of the bucket's hub."""
+    named = (members.join(comps, members["rep"] == comps["node"], "left")
+             .select("key", "rep", F.coalesce("root", "rep").alias("comp")))
+    hub = F.min(F.struct(F.xxhash64("rep", "key").alias("h"), F.col("rep"), F.col("comp")))
+    mixed = (named.groupBy("key").agg(hub.alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
+             .filter("lo <> hi AND n > 2").select("key", F.col("hub.comp").alias("hub_comp")))
+    return named.join(mixed, "key").select("key", "rep", "comp", (F.col("comp") != F.col("hub_comp")).alias("open"))
+
+
+def finer(members: DataFrame) -> DataFrame:
+    """The members of pairs of buckets: documents that share two bands (at most
+    BANDS * (BANDS - 1) / 2 keys each) are more alike than those that share one."""
+    per = members.groupBy("rep", "comp").agg(F.array_sort(F.collect_list(F.struct("key", "open"))).alias("k"))
+    pairs = F.flatten(F.transform("k", lambda x, i: F.transform(
+        F.slice("k", i + 2, F.size("k")), lambda y: F.struct(F.xxhash64(x["key"], y["key"]).alias("key"), (x["open"] | y["open"]).alias("open")))))
+    return per.select("rep", "comp", F.explode(pairs).alias("p")).select("p.key", "rep", "comp", "p.open")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -204,22 +223,13 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "near-classes")
     members = materialize(buckets(classes), "near-buckets")
     sets = materialize(full_sets(docs, members.select("rep").distinct(), key, text), "near-sets")
-    links, comps = None, None
-    state = members.withColumns({"comp": F.col("rep"), "open": F.lit(True)})
-    for turn, centres in enumerate(CENTRES):
-        met = star_pairs(state, turn, centres)
-        pairs = met.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        found = confirm(materialize(pairs, "near-pairs"), sets)
-        links = cut_lineage(found if links is None else links.union(found).distinct())
-        comps = components(links)
-        if turn + 1 < len(CENTRES):
-            named = (members.join(comps, members["rep"] == comps["node"], "left")
-                     .select("key", "rep", F.coalesce("root", "rep").alias("comp")))
-            first = F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)).alias("h"), F.col("rep"), F.col("comp")))
-            settled = named.groupBy("key").agg(first.alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            settled = settled.filter("lo <> hi").select("key", F.col("c.comp").alias("hub_comp"))
-            state = materialize(named.join(settled, "key").withColumn("open", F.col("comp") != F.col("hub_comp"))
-                                .drop("hub_comp"), "near-open")
+    single = members.withColumns({"comp": F.col("rep"), "open": F.lit(True)})
+    links = cut_lineage(confirm(materialize(star_pairs(single), "near-pairs"), sets))
+    comps = components(links)
+    left = materialize(unsettled(members, comps), "near-unsettled")
+    if not left.isEmpty():
+        more = confirm(materialize(star_pairs(finer(left)), "near-pairs"), sets)
+        comps = components(links.union(more))
     least = comps.groupBy("root").agg(F.min("node").alias("component_id"))
     named = comps.join(least, "root").select("node", "component_id")
     of_set = (classes.join(named, classes["rep"] == named["node"], "left")
