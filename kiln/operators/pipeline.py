@@ -4,15 +4,22 @@ numeric → mean imputation → population standard scaling; categorical →
 most-frequent imputation → one-hot with the alphabetically first category
 dropped; ids → lexicographic string codes with an unseen bucket.  All stages
 are MLlib estimators except the population scaler (MLlib's scaler divides by
-the sample std), which is a small custom Estimator over one aggregate."""
+the sample std), which is a small custom Estimator over one aggregate.
+
+``save_features`` / ``load_features`` keep a fitted pipeline in a folder: MLlib
+stages in their own format, the numbers of the custom stages as rows, and the
+id code tables, which grow with the data, as Parquet tables."""
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -130,3 +137,46 @@ class _CastDouble(Model):
 
     def _transform(self, dataset):
         return dataset.withColumns({o: F.col(c).cast("double") for c, o in zip(self.cols, self.outs)})
+
+
+def save_features(model: PipelineModel, spark: SparkSession, path: str) -> str:
+    """Write a fitted ``feature_pipeline`` under ``path``."""
+    rows = []
+    for i, stage in enumerate(model.stages):
+        where = os.path.join(path, f"stage-{i:02d}")
+        if isinstance(stage, DistributedIdEncoderModel):
+            for c in stage.cols:
+                stage.encoder.tables[c].write.mode("overwrite").parquet(os.path.join(where, c))
+            sizes = {c: stage.encoder.sizes[c].first()[0] for c in stage.cols}
+            rows.append((i, "ids", json.dumps([stage.cols, stage.outs, sizes])))
+        elif isinstance(stage, PopulationStandardScalerModel):
+            rows.append((i, "scale", json.dumps([stage.cols, stage.outs, stage.stats])))
+        elif isinstance(stage, MostFrequentImputerModel):
+            rows.append((i, "impute", json.dumps([stage.cols, stage.outs, stage.modes])))
+        elif isinstance(stage, _CastDouble):
+            rows.append((i, "double", json.dumps([stage.cols, stage.outs])))
+        else:
+            PipelineModel([stage]).write().overwrite().save(where)
+            rows.append((i, "mllib", "[]"))
+    spark.createDataFrame(rows, "stage INT, kind STRING, state STRING").coalesce(1).write.mode("overwrite") \
+        .parquet(os.path.join(path, "stages"))
+    return path
+
+
+def load_features(spark: SparkSession, path: str) -> PipelineModel:
+    """The pipeline that ``save_features`` wrote."""
+    from kiln.operators.features import IdEncoder
+    stages = []
+    for r in spark.read.parquet(os.path.join(path, "stages")).orderBy("stage").collect():
+        where, state = os.path.join(path, f"stage-{r['stage']:02d}"), json.loads(r["state"])
+        if r["kind"] == "ids":
+            cols, outs, sizes = state
+            tables = {c: spark.read.parquet(os.path.join(where, c)) for c in cols}
+            counts = {c: spark.range(1).select(F.lit(sizes[c]).cast("long").alias("n")) for c in cols}
+            stages.append(DistributedIdEncoderModel(IdEncoder(cols, tables, counts), cols, outs))
+        elif r["kind"] == "mllib":
+            stages += PipelineModel.load(where).stages
+        else:
+            stages.append({"scale": PopulationStandardScalerModel, "impute": MostFrequentImputerModel,
+                           "double": _CastDouble}[r["kind"]](*state))
+    return PipelineModel(stages)

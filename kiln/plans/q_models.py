@@ -123,15 +123,15 @@ def n1_grid_search(spark, d):
 
 
 def _als_frame(spark, d):
+    """Ratings with a 70 / 30 split and dense user and item codes of the train
+    rows (fitted code tables, so ids of any type and size work)."""
+    from kiln.operators.features import IdEncoder
     from kiln.operators.splits import hash_split
-    from pyspark.ml.feature import StringIndexer
     r = proxies.ratings(spark, d)
     r = r.withColumn("_k", F.concat_ws("|", F.col("user_id").cast("string"), "item_id"))
-    s = hash_split(r, "_k", [("test", 30), ("train", 70)])
-    idx = StringIndexer(inputCol="item_id", outputCol="item_ix").fit(s.filter(F.col("split") == "train"))
-    s = idx.transform(s.withColumn("user", F.col("user_id").cast("int")).select("*")) \
-        .withColumn("item", F.col("item_ix").cast("int"))
-    return s
+    s = hash_split(r, "_k", [("test", 30), ("train", 70)]).withColumns({"user": F.col("user_id"), "item": F.col("item_id")})
+    coded = IdEncoder(["user", "item"]).fit(s.filter(F.col("split") == "train")).transform(s)
+    return coded.withColumns({c: F.col(c).cast("int") for c in ("user", "item")})
 
 
 @register("k12_als_nonnegative")
@@ -177,19 +177,33 @@ def _doc_features(spark, d):
     return models.assemble(f, ["log_chars", "n_words", "digit_share", "is_en"])
 
 
+def _doc_split(spark, d):
+    """(train, test): 30 % of the labelled documents held out per class."""
+    from kiln.operators.splits import stratified_holdout
+    f = stratified_holdout(_doc_features(spark, d), "label", "doc_id", 0.3)
+    return (f.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+
+
 @register("m8_platt_calibration")
 def m8_platt_calibration(spark, d):
-    f = stratified_folds(_doc_features(spark, d), "label", "doc_id", 5).persist(StorageLevel.DISK_ONLY)
+    """Sigmoid calibration on out-of-fold scores of the train rows, judged on held-out rows."""
+    train, test = _doc_split(spark, d)
+    f = stratified_folds(train, "label", "doc_id", 5)
+
+    def scored(model, rows):
+        p = model.transform(rows).select("doc_id", "label", vector_to_array("probability")[1].alias("score"))
+        logit = F.log(F.greatest(F.col("score"), F.lit(1e-6)) / F.greatest(1 - F.col("score"), F.lit(1e-6)))
+        return models.assemble(p.withColumn("logit", logit), ["logit"])
+
+    def forest(rows):
+        return RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(rows)
+
     oof = None
     for k in range(5):
-        m = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(f.filter(F.col("fold") != k))
-        p = m.transform(f.filter(F.col("fold") == k)).select(
-            "doc_id", "label", "fold", vector_to_array("probability")[1].alias("score"))
+        p = scored(forest(f.filter(F.col("fold") != k)), f.filter(F.col("fold") == k))
         oof = p if oof is None else oof.unionByName(p)
-    oof = models.assemble(oof.withColumn("logit", F.log(F.greatest(F.col("score"), F.lit(1e-6))
-                                                        / F.greatest(1 - F.col("score"), F.lit(1e-6)))), ["logit"])
     cal = LogisticRegression(maxIter=50).fit(oof)
-    out = cal.transform(oof).withColumn("p_cal", vector_to_array("probability")[1])
+    out = cal.transform(scored(forest(train), test)).withColumn("p_cal", vector_to_array("probability")[1])
     return out.agg(F.avg(F.pow(F.col("score") - F.col("label"), 2)).alias("brier_raw"),
                    F.avg(F.pow(F.col("p_cal") - F.col("label"), 2)).alias("brier_calibrated"))
 
@@ -263,14 +277,14 @@ _DOC_COLS = ["log_chars", "n_words", "digit_share", "is_en"]
 
 @register("n6_permutation_importance")
 def n6_permutation_importance(spark, d):
-    f = _doc_features(spark, d).drop("features").withColumnRenamed("doc_id", "_rid")
-    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(f, _DOC_COLS))
+    train, test = (x.drop("features").withColumnRenamed("doc_id", "_rid") for x in _doc_split(spark, d))
+    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(train, _DOC_COLS))
 
     def assemble(df):
         return models.assemble(df.drop("features", "probability", "rawPrediction", "prediction"), _DOC_COLS)
 
     m = _ScoreWrap(model)
-    return explain.permutation_importance(m, f, _DOC_COLS, assemble, "score", "label", repeats=30)
+    return explain.permutation_importance(m, test, _DOC_COLS, assemble, "score", "label", repeats=30)
 
 
 class _ScoreWrap:
@@ -285,8 +299,8 @@ class _ScoreWrap:
 
 @register("n7_shapley")
 def n7_shapley(spark, d):
-    f = _doc_features(spark, d).drop("features")
-    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(f, _DOC_COLS))
+    train, f = (x.drop("features") for x in _doc_split(spark, d))  # explained: held-out rows
+    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(train, _DOC_COLS))
 
     def predict(df):
         return model.transform(models.assemble(df, _DOC_COLS)).withColumn("p", vector_to_array("probability")[1])
@@ -298,8 +312,8 @@ def n7_shapley(spark, d):
 
 @register("n8_partial_dependence")
 def n8_partial_dependence(spark, d):
-    f = _doc_features(spark, d).drop("features")
-    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(f, _DOC_COLS))
+    train, f = (x.drop("features") for x in _doc_split(spark, d))  # explained: held-out rows
+    model = RandomForestClassifier(numTrees=30, maxDepth=5, seed=42).fit(models.assemble(train, _DOC_COLS))
 
     def predict(df):
         return model.transform(models.assemble(df, _DOC_COLS)).withColumn("p", vector_to_array("probability")[1])

@@ -252,3 +252,35 @@ def test_forecast_and_lags_are_per_series(spark):
     assert np.allclose(pacf[pacf.series_id == "a"].sort_values("lag").pacf, pacf[pacf.series_id == "b"].sort_values("lag").pacf)
     grid = forecast.grid_search(df, "2024-02-15", [{"reg": 0.0}, {"reg": 10.0}], n_changepoints=0, yearly=0, weekly=0).toPandas()
     assert grid.trial.tolist() == [0, 1]
+
+
+def test_saved_features_give_equal_vectors(spark, tmp_path):
+    from pyspark.ml.functions import vector_to_array
+    from kiln.operators.pipeline import feature_pipeline, load_features, save_features
+    df = spark.createDataFrame([(float(i) if i % 5 else None, "abc"[i % 3] if i % 7 else None, f"id{i % 9}") for i in range(60)],
+                               "x double, c string, k string")
+    model = feature_pipeline(["x"], ["c"], ["k"], unknown="keep").fit(df)
+    again = load_features(spark, save_features(model, spark, str(tmp_path / "saved")))
+    new = df.unionByName(spark.createDataFrame([(1.0, "never seen", "id?")], df.schema))
+    a, b = ([tuple(r[0]) for r in m.transform(new).select(vector_to_array("features")).collect()] for m in (model, again))
+    assert sorted(a) == sorted(b) and len(a) == 61
+
+
+def test_elimination_runs_until_nothing_drops(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from kiln.operators import explain, models
+    rng = np.random.default_rng(0)
+    names = [f"x{i}" for i in range(15)]
+    x = rng.normal(size=(200, 15))
+    pdf = pd.DataFrame(x, columns=names).assign(label=(x[:, 0] > 0).astype(float))
+    data = models.assemble(spark.createDataFrame(pdf), names)
+    kept, history = explain.recursive_elimination(lambda: DecisionTreeClassifier(maxDepth=2, seed=1), data, names, 0.5)
+    assert kept == ["x0"] and history[0][1] == 15 and history[-1][1] == 1 and history[-1][2] > 0.95
+
+
+def test_one_client_scores_equal_the_whole_scoring(spark, small_dir):
+    import __spark_entry__ as entry
+    q = entry.queries()
+    one = {tuple(r) for r in q["o3_score_one_client"](spark, small_dir).collect()}
+    client = next(iter(one))[0]
+    assert one == {tuple(r) for r in q["o2_score_candidates"](spark, small_dir).filter(F.col("customer_id") == client).collect()}
