@@ -83,7 +83,7 @@ def starts(keys: DataFrame, group: list[str], cells: Column, order: list, weight
     ``weight``: rows go to ``cells`` hash cells of the group, ranked inside a
     cell by a window and offset by the cells before it."""
     spread = F.xxhash64(*order)
-    celled = keys.withColumn("_cell", F.pmod(spread, cells))
+    celled = keys.withColumn("_cell", F.pmod(spread, cells)).repartition(*group, "_cell")  # else an earlier split by group would do
     sizes = celled.groupBy(*group, "_cell").agg(F.sum(weight).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*group, "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
