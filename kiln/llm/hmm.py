@@ -74,7 +74,11 @@ class Vocabulary:
 
     def __init__(self, counts: DataFrame, documents: int):
         import numpy as np
-        top = counts.orderBy(F.desc("c"), "h").limit(LISTED).collect()
+        # the listed words lie above a quantile of the counts, so that only they come to the driver
+        total = counts.count()
+        floor = counts.agg(F.percentile_approx("c", 1 - LISTED / total, 100_000)).first()[0] if total > LISTED else 0
+        found = sorted(counts.filter(F.col("c") > floor).collect(), key=lambda r: (-r["c"], r["h"]))
+        top = found[:LISTED]
         self.documents = documents
         h = np.array([r["h"] for r in top], dtype=np.int64)
         c = np.array([r["c"] for r in top], dtype=np.int64)
@@ -95,7 +99,7 @@ class Vocabulary:
         self.class_tokens[1 + OWN:] = tokens
         order = np.argsort(h)
         self.h, self.rank, self.weight = h[order], order, np.log10(c[order] + 0.5)
-        self.least = int(c[-1]) if len(c) == LISTED else 0  # words counted less often than this are not listed
+        self.least = int(c[-1]) if len(found) > LISTED else floor  # every word counted more often is listed
 
     @property
     def unit(self) -> float:
