@@ -3,7 +3,8 @@
 Every source gets a budget of words.  Whole copies of the source go in while
 they fit (every document once, twice, ...); the rest of the budget is fitted
 on the counts of documents by exact length: a proportional share of each
-length, one more of some lengths in seeded order, and for the last words a
+length and one more of some lengths in seeded order, both again over what is
+still free and fits until few words are left, and for the last words a
 bounded-knapsack dynamic programme over the documents still free, which meets
 the budget exactly whenever some subset does.  Documents are then picked by
 count and length in seeded hash order.
@@ -83,16 +84,27 @@ def subset_sum(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
 
 def fit(lengths: list[int], counts: list[int], budget: int, seed: str) -> list[int]:
     """How many documents of each length to add so that their words come to ``budget``
-    (less than all words): share, one more in seeded order, knapsack."""
-    total = sum(n * c for n, c in zip(lengths, counts))
-    take = [c * budget // total if n else 0 for n, c in zip(lengths, counts)] if total else [0] * len(lengths)
-    rest = budget - sum(n * k for n, k in zip(lengths, take))
+    (less than all words): share and one more in seeded order until WINDOW words are
+    left or no free document fits, then knapsack."""
+    take, rest = [0] * len(lengths), budget
     order = sorted(range(len(lengths)), key=lambda i: hashlib.blake2b(f"{seed}:{lengths[i]}".encode(), digest_size=8).digest())
-    for i in order:
+    while True:
+        # what is free and fits shares the rest; lengths too long for it drop out, so the turns end
+        open_ = [i for i in order if take[i] < counts[i] and 0 < lengths[i] <= rest]
+        words = sum(lengths[i] * (counts[i] - take[i]) for i in open_)
+        if not open_:
+            break
+        part = min(rest, words)
+        for i in open_:
+            more = (counts[i] - take[i]) * part // words
+            take[i], rest = take[i] + more, rest - more * lengths[i]
+        for i in open_:
+            if rest <= WINDOW:
+                break
+            if take[i] < counts[i] and lengths[i] <= rest:
+                take[i], rest = take[i] + 1, rest - lengths[i]
         if rest <= WINDOW:
             break
-        if take[i] < counts[i] and 0 < lengths[i] <= rest:
-            take[i], rest = take[i] + 1, rest - lengths[i]
     if rest:
         more = subset_sum([(lengths[i], counts[i] - take[i]) for i in order if counts[i] > take[i]], min(rest, WINDOW))
         take = [k + more.get(n, 0) for n, k in zip(lengths, take)]

@@ -227,6 +227,16 @@ def test_subset_sum_is_best(items, budget):
     assert sum(n * c for n, c in got.items()) == max(x for x in reach if x <= budget)
 
 
+def test_one_huge_document_leaves_no_budget_unused():
+    from kiln.llm.mixing import fit
+    lengths, counts = [*range(50, 150), 10_000_000], [1_000] * 100 + [1]
+    for budget in (6_000_000, 9_000_000, 9_950_000):
+        take = fit(lengths, counts, budget, "s")
+        assert sum(n * k for n, k in zip(lengths, take)) == budget
+        assert all(0 <= k <= c for k, c in zip(take, counts))
+    assert fit([0, 7], [5, 0], 10, "s") == [0, 0]
+
+
 # 6 fingerprints
 
 def test_fingerprints(odd, none):
