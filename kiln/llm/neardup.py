@@ -16,8 +16,12 @@ densification, banded buckets, star-shaped candidate edges, exact confirmation.
    hub has not settled go into finer buckets, of every two bands they share
    with others, and meet one settled member of each (or another open one): up
    to 496 hubs, the more alike the likelier.
+6. Members of buckets that still hold several components are compared exactly:
+   an overlap of 75 % needs a common shingle among the rarest few of both sets,
+   how few depends on both sizes.  Rare ones give pairs; documents that share
+   a hot one form crowds, cut into cells that are compared cell by cell.
 
-At a similarity of 0.75 a pair shares no bucket with probability
+So every pair that shares a bucket and is 75 % alike is in one component.  At a similarity of 0.75 a pair shares no bucket with probability
 (1 - 0.75**4)**32, about 5e-6.
 
 Rules: texts are taken whole; null, empty and white-space texts have no
@@ -36,6 +40,9 @@ from kiln.llm.url_filter import MAX_BLOCKS, _block, _mask, bloom_filter
 from kiln.session import cut_lineage
 
 BANDS, ROWS, WIDTH, PERCENT = 32, 4, 5, 75
+#: Size classes of the exact turn and how far apart two similar sets' classes can be; members up to
+#: which a shingle gives pairs; documents and shingles of a crowd's cell.
+STEP, APART, PAIRED, CELL, CELL_SHINGLES = 1.05, 6, 16, 512, 500_000
 _BINS = BANDS * ROWS
 _MASK = (1 << 64) - 1
 
@@ -208,6 +215,111 @@ def finer(members: DataFrame) -> DataFrame:
     return per.select("rep", "comp", F.explode(pairs).alias("p")).select("p.key", "rep", "comp", "p.open")
 
 
+def _spread(hit):
+    """The first index of every index's component in a symmetric boolean matrix."""
+    import numpy as np
+    label = np.arange(len(hit))
+    while True:
+        near = np.minimum(label, np.where(hit, label[None, :], len(hit)).min(axis=1, initial=len(hit)))
+        near = near[near]
+        if np.array_equal(near, label):
+            return label
+        label = near
+
+
+def cell_links(reps, comps, sizes, tokens, side, percent: int = PERCENT):
+    """Links between the documents of side 0 and of side 1, or within side 0 if
+    there is no other; of linked ones each meets the first only."""
+    import numpy as np
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if (side == 1).any() else left
+    ends = np.cumsum([0, *map(len, tokens)])
+    word, at = np.unique(np.concatenate([np.empty(0, np.int64), *tokens]), return_inverse=True)
+    row = np.repeat(np.arange(len(tokens)), np.diff(ends))
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    inter = np.zeros((len(left), len(right)), np.float32)
+    place = np.full((2, len(tokens)), -1)
+    place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+    for lo in range(0, len(word), 4096):  # the shingles in slices, so that the matrices stay small
+        a, b = np.searchsorted(at, [lo, lo + 4096])
+        one, two = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
+        for m, p in ((one, place[0]), (two, place[1])):
+            there = p[row[a:b]] >= 0
+            m[p[row[a:b][there]], at[a:b][there] - lo] = 1
+        both = one.any(axis=0) & two.any(axis=0)
+        inter += one[:, both] @ two[:, both].T
+    total = sizes[left][:, None] + sizes[right][None, :]
+    hit = (100 * inter.astype(np.int64) >= percent * (total - inter.astype(np.int64))) & (comps[left][:, None] != comps[right][None, :])
+    whole = np.zeros((len(tokens), len(tokens)), bool)
+    whole[np.ix_(left, right)] = hit
+    first = _spread(whole | whole.T)
+    moved = np.flatnonzero(first != np.arange(len(first)))
+    return reps[moved], reps[first[moved]]
+
+
+def exact_links(left: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) that join all members of ``left`` (rep, comp) that are similar
+    enough and not yet of one component; some stand for a chain of links."""
+    n, size = F.col("n"), F.size("tokens")
+    items = materialize(sets.join(left.select("rep", "comp").distinct(), "rep"), "near-open")
+    tokens = items.select("rep", F.explode("shingles").alias("s"))
+    shared = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")  # the others are in no overlap
+    ranked = tokens.join(shared, "s").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("o"))
+    docs = materialize(items.select("rep", "comp", F.size("shingles").cast("long").alias("n")).join(ranked, "rep").select(
+        "rep", "comp", "n", F.floor(F.log(n) / F.log(F.lit(STEP))).alias("c"), F.col("o.s").alias("tokens")), "near-ordered")
+
+    # the rarest shingles of a set that a similar set of a size class must meet
+    met = docs.withColumn("j", F.explode(F.sequence(F.col("c") - APART, F.col("c") + APART)))
+    least = F.greatest(F.floor(F.pow(F.lit(STEP), F.col("j")) * (1 - 1e-9)), F.ceil(percent * n / F.lit(100)))
+    need = F.ceil(percent * (n + least) / F.lit(100 + percent) - F.lit(1e-9))
+    met = met.withColumn("p", (size - need + 1).cast("int")).filter("p > 0")
+    at = materialize(met.select("rep", "comp", "c", "j", F.explode(F.slice("tokens", F.lit(1), F.col("p"))).alias("s")).select(
+        "rep", "comp", F.xxhash64(F.least("c", "j"), F.greatest("c", "j"), "s").alias("key")), "near-prefixes")
+    groups = at.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("lead"), F.min("comp").alias("lo"),
+                                   F.max("comp").alias("hi")).filter("lo <> hi").select("key", "m", "lead")
+    met = materialize(at.join(groups, "key"), "near-met")
+    rare = met.filter(F.col("m") <= PAIRED)
+    pairs = (rare.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
+             .join(rare.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb")), "key")
+             .filter("a < b AND ca <> cb").select("a", "b").distinct())
+    links = confirm(materialize(pairs, "near-pairs"), sets, percent)
+    hot = met.filter(F.col("m") > PAIRED).select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    return links if hot.isEmpty() else links.union(crowd_links(docs, components(hot), percent))
+
+
+def crowd_links(docs: DataFrame, crowds: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links within crowds (node, root): cells of one size class each, every two
+    cells of a crowd whose sizes allow it compared in a task of their own."""
+    inside = docs.join(crowds, docs["rep"] == crowds["node"]).select(F.col("root").alias("crowd"), "c", "rep", "comp", "n", "tokens")
+    counts = materialize(inside.groupBy("crowd", "c").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / F.lit(CELL)), F.ceil(F.sum(F.size("tokens")) / F.lit(CELL_SHINGLES)), F.lit(1)).alias("g")), "near-crowds")
+    cells = counts.select("crowd", "c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)).alias("h"))
+    two = cells.select("crowd", F.col("c").alias("d"), F.col("h").alias("k"))
+    units = (cells.join(two, "crowd").filter((F.col("d") - F.col("c")).between(0, APART) & ((F.col("d") > F.col("c")) | (F.col("k") >= F.col("h"))))
+             .withColumn("unit", F.concat_ws(":", "crowd", "c", "h", "d", "k")))
+    placed = inside.join(counts, ["crowd", "c"]).withColumn("h", F.pmod(F.xxhash64("rep"), F.col("g"))).drop("g")
+    row = ["unit", "rep", "comp", "n", "tokens"]
+    one = placed.join(units, ["crowd", "c", "h"]).select(*row, F.lit(0).alias("side"))
+    other = units.filter("d > c OR k > h").select("crowd", F.col("d").alias("c"), F.col("k").alias("h"), "unit")
+    both = one.union(placed.join(other, ["crowd", "c", "h"]).select(*row, F.lit(1).alias("side")))
+
+    def run(unit):
+        import numpy as np
+        import pandas as pd
+        side = unit["side"].to_numpy()
+        if not (side == 0).any():
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        alone = unit["unit"].iloc[0].split(":")
+        if alone[1:3] != alone[3:5] and not (side == 1).any():
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        a, b = cell_links(unit["rep"].to_numpy(), unit["comp"].to_numpy(), unit["n"].to_numpy(),
+                          [np.asarray(t, np.int64) for t in unit["tokens"]], side, percent)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return both.groupBy("unit").applyInPandas(run, "a long, b long").distinct()
+
+
 def buckets(classes: DataFrame) -> DataFrame:
     """(key, rep) of the band buckets that hold at least two classes; a
     partial aggregate counts them, a hot bucket is split by the join."""
@@ -228,8 +340,11 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     comps = components(links)
     left = materialize(unsettled(members, comps), "near-unsettled")
     if not left.isEmpty():
-        more = confirm(materialize(star_pairs(finer(left)), "near-pairs"), sets)
-        comps = components(links.union(more))
+        links = cut_lineage(links.union(confirm(materialize(star_pairs(finer(left)), "near-pairs"), sets)))
+        comps = components(links)
+        left = materialize(unsettled(members, comps), "near-unsettled")
+        if not left.isEmpty():
+            comps = components(links.union(exact_links(left, sets)))
     least = comps.groupBy("root").agg(F.min("node").alias("component_id"))
     named = comps.join(least, "root").select("node", "component_id")
     of_set = (classes.join(named, classes["rep"] == named["node"], "left")

@@ -321,6 +321,52 @@ def test_near_duplicates_equal_brute_force(llm):
     assert {r["doc_id"] for r in rows(deduplicated(df))} == {k for k, (_, c) in want.items() if c == k}
 
 
+def test_near_duplicates_in_a_crowd_below_the_threshold(llm):
+    from kiln.llm.neardup import link
+    rng = np.random.default_rng(11)
+
+    def tail(n):
+        return [f"w{x}" for x in rng.integers(0, 10**12, n)]
+
+    head, texts, pairs = [f"t{i}" for i in range(169)], [], []
+    for i in range(2000):  # 165 common shingles of 200: 0.70
+        texts.append(head + (texts[-1][169:178] if i % 20 == 1 else []) + tail(26 if i % 20 == 1 else 35))
+        if i % 20 == 1:  # 174 of 200: 0.77
+            pairs.append((i - 1, i))
+    df = llm.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in link(df).collect()}
+    want = {i: i for i in range(2000)} | {b: a for a, b in pairs}
+    assert got == want
+
+
+def test_exact_links_of_a_hot_crowd_equal_brute_force(llm, monkeypatch):
+    from kiln.llm import neardup
+    monkeypatch.setattr(neardup, "CELL", 16)
+    rng = np.random.default_rng(5)
+    base, sets = rng.integers(0, 2**60, 200), {}
+    for i in range(90):  # every document keeps its own part of the common shingles
+        keep = base[rng.random(200) > rng.choice([.05, .09, .2])]
+        sets[i] = np.unique(np.append(keep, rng.integers(0, 2**60, rng.integers(5, 40))))
+    like = np.array([[len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for b in sets.values()] for a in sets.values()])
+    edges = {(i, j) for i in range(90) for j in range(i) if like[i, j] >= .75}
+    left = llm.createDataFrame([(i, i) for i in sets], "rep long, comp long")
+    docs = llm.createDataFrame([(i, [int(x) for x in v]) for i, v in sets.items()], "rep long, shingles array<bigint>")
+    got = {(max(r), min(r)) for r in neardup.exact_links(left, docs).collect()}
+
+    def roots(edges):
+        root = {i: i for i in sets}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+        for a, b in edges:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return {i: find(i) for i in sets}
+    assert 0 < len(edges) < 90 * 89 // 2 and roots(got) == roots(edges)
+
+
 def test_near_duplicates_odd_rows(odd, none):
     from kiln.llm.neardup import deduplicated, link
     got = rows(link(odd))
