@@ -18,9 +18,8 @@ whatever the vocabulary.  Baum-Welch runs its forward and backward recursions
 in the tasks, over all documents of a task at once, and only expected counts
 (classes x states numbers a task) are shuffled and added up.  A bounded sample
 of documents (``WARM`` of them) only finds the starting point of the states;
-``ROUNDS`` rounds then go over every training document.  The backward pass is
-cut every ``BLOCK`` tokens in training; the forward recursion, and so every
-score, runs through the whole text.
+``ROUNDS`` rounds then go over every training document.  Both
+recursions run through whole texts, in training and in every score.
 
 Rules: a null text is the empty text, whose one token is the end; without
 training documents N and V are 0 and the model is uniform over its classes;
@@ -202,24 +201,36 @@ def likelihood(model: Model, seqs):
 
 
 def expected(model: Model, seqs, into):
-    """Adds the expected start, transition and emission counts of the sequences."""
+    """Adds the expected start, transition and emission counts of the sequences
+    and returns their log-probability.  The forward recursion is kept at every
+    BLOCK-th token and run again from there when the backward one arrives."""
     import numpy as np
     start, move, emit = into
     flat, starts, size, _ = _packed(seqs)
     live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
-    alpha, states = None, len(model.start)
-    for t0 in range(0, len(live), BLOCK):
-        steps = live[t0:t0 + BLOCK]
-        before, alphas, outs = alpha, [], []
+    alpha, states, borders, total = None, len(model.start), [], 0.0
+
+    def step(alpha, t, n):
+        o = flat[starts[:n] + t]
+        e = model.emit[o]
+        alpha = model.start * e if t == 0 else (alpha[:n] @ model.move) * e
+        c = alpha.sum(1, keepdims=True)
+        return alpha / c, o, e / c, c
+
+    for t, n in enumerate(live):
+        if t % BLOCK == 0:
+            borders.append(alpha)
+        alpha, _, _, c = step(alpha, t, n)
+        total += float(np.log(c).sum())
+    beta = np.ones((0, states))
+    for t0 in reversed(range(0, len(live), BLOCK)):
+        steps, before = live[t0:t0 + BLOCK], borders.pop()
+        alpha, alphas, outs = before, [], []
         for t, n in enumerate(steps, t0):
-            o = flat[starts[:n] + t]
-            e = model.emit[o]
-            alpha = model.start * e if t == 0 else (alpha[:n] @ model.move) * e
-            c = alpha.sum(1, keepdims=True)
-            alpha = alpha / c
+            alpha, o, e, _ = step(alpha, t, n)
             alphas.append(alpha)
-            outs.append((o, e / c))
-        beta, gammas = np.ones((steps[-1], states)), [None] * len(steps)
+            outs.append((o, e))
+        gammas = [None] * len(steps)
         for i in range(len(steps) - 1, -1, -1):
             n = steps[i]
             if len(beta) < n:  # texts that end here
@@ -235,6 +246,7 @@ def expected(model: Model, seqs, into):
         classes, gamma = np.concatenate([o for o, _ in outs]), np.concatenate(gammas)
         for s in range(states):
             emit[:, s] += np.bincount(classes, weights=gamma[:, s], minlength=len(emit))
+    return total
 
 
 def _chunks(batches, column: int, tokens: int = 1_000_000):

@@ -438,6 +438,34 @@ def test_hmm_scores(llm, odd, none):
     assert {round(r["base_score"], 9) for r in rows(score(odd, F.lit(False)))} == {0.0}
 
 
+def test_expected_counts_equal_plain_forward_backward():
+    from kiln.llm import hmm
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 30, n) for n in (1, 63, 64, 65, 130, 300)]
+    tokens = np.bincount(np.concatenate(texts), minlength=hmm.CLASSES).astype(float)
+    model = hmm.Model.initial(tokens, states=3)
+    model.move = np.array([[.98, .01, .01], [.01, .98, .01], [.01, .01, .98]])
+    into = (np.zeros(3), np.zeros((3, 3)), np.zeros((hmm.CLASSES, 3)))
+    hmm.expected(model, [t.astype("<u2").tobytes() for t in texts], into)
+    start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((hmm.CLASSES, 3))
+    for x in texts:
+        alpha, beta = [model.start * model.emit[x[0]]], [np.ones(3)]
+        for o in x[1:]:
+            a = alpha[-1] @ model.move * model.emit[o]
+            alpha.append(a / a.sum())
+        for o in x[:0:-1]:
+            b = model.move @ (model.emit[o] * beta[0])
+            beta.insert(0, b / b.sum())
+        gamma = [a * b / (a * b).sum() for a, b in zip(alpha, beta)]
+        start += gamma[0]
+        for o, g in zip(x, gamma):
+            emit[o] += g
+        for t in range(1, len(x)):
+            xi = np.outer(alpha[t - 1], model.emit[x[t]] * beta[t]) * model.move
+            move += xi / xi.sum()
+    assert all(np.allclose(a, b) for a, b in zip(into, (start, move, emit)))
+
+
 def test_forward_is_exact_and_training_raises_likelihood():
     from kiln.llm import hmm
     rng = np.random.default_rng(2)
