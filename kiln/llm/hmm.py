@@ -16,9 +16,9 @@ Counts of the ``LISTED`` most frequent words travel in one broadcast of fixed
 size; every other word of a document meets its count in a join on the hash,
 whatever the vocabulary.  Baum-Welch runs its forward and backward recursions
 in the tasks, over all documents of a task at once, and only expected counts
-(classes x states numbers a task) are shuffled and added up.  A bounded sample
-of documents (``WARM`` of them) only finds the starting point of the states;
-``ROUNDS`` rounds then go over every training document.  Both
+(classes x states numbers a task) are shuffled and added up.  Every round goes
+over every training document, from a seeded model until the log-probability
+of all of them gains less than ``SETTLED`` of itself.  Both
 recursions run through whole texts, in training and in every score.
 
 Rules: a null text is the empty text, whose one token is the end; without
@@ -35,7 +35,8 @@ from kiln.llm.common import materialize
 
 OWN, TAILS, LISTED, STATES = 8192, 256, 65_000, 8
 CLASSES = 1 + OWN + TAILS  # class 0 is the end of a document
-WARM, WARM_ROUNDS, ROUNDS, BLOCK, SEED = 3000, 12, 2, 64, 5
+BLOCK, SEED = 64, 5
+SETTLED = 1e-4  # gain in log-probability, as a share of it, below which the rounds end
 PRIOR = 200.0  # pseudo-tokens by which a state's emissions lean on the class frequencies
 _UP = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -263,8 +264,9 @@ def _chunks(batches, column: int, tokens: int = 1_000_000):
         yield held
 
 
-def baum_welch(model: Model, sequences: DataFrame, class_tokens) -> Model:
-    """One round over all ``sequences`` (column ``classes``)."""
+def baum_welch(model: Model, sequences: DataFrame, class_tokens) -> tuple[Model, float]:
+    """One round over all ``sequences`` (column ``classes``): the next model and
+    the natural log-probability of all of them under the given one."""
     import numpy as np
     states = len(model.start)
     shared = sequences.sparkSession.sparkContext.broadcast(model)
@@ -273,18 +275,18 @@ def baum_welch(model: Model, sequences: DataFrame, class_tokens) -> Model:
     def run(batches):
         import pyarrow as pa
         into = (np.zeros(states), np.zeros((states, states)), np.zeros((CLASSES, states)))
-        for seqs in _chunks(batches, 0):
-            expected(shared.value, seqs, into)
+        total = sum(expected(shared.value, seqs, into) for seqs in _chunks(batches, 0))
         start, move, emit = into
         some = np.flatnonzero(emit.any(axis=1))
         if len(some):
-            rows = np.concatenate([emit[some], move, start[None]])
-            at = np.concatenate([some, -1 - np.arange(states), [-1 - states]])
+            rows = np.concatenate([emit[some], move, start[None], np.full((1, states), total)])
+            at = np.concatenate([some, -1 - np.arange(states), [-1 - states, -2 - states]])
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *(pa.array(np.ascontiguousarray(rows[:, s])) for s in range(states))],
                                              names=["row", *names])
 
     summed = (sequences.select("classes").mapInArrow(run, ", ".join(["row long", *(f"{n} double" for n in names)]))
-              .groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).collect())  # at most classes + states + 1 rows
+              .groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).collect())  # at most classes + states + 2 rows
+    total = 0.0
     start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((CLASSES, states))
     for r in summed:
         values = [r[n] for n in names]
@@ -292,23 +294,22 @@ def baum_welch(model: Model, sequences: DataFrame, class_tokens) -> Model:
             emit[r["row"]] = values
         elif r["row"] >= -states:
             move[-1 - r["row"]] = values
-        else:
+        elif r["row"] == -1 - states:
             start[:] = values
+        else:
+            total = values[0]
     shared.unpersist()
-    return Model.maximised(start, move, emit, class_tokens)
+    return Model.maximised(start, move, emit, class_tokens), total
 
 
 def trained(sequences: DataFrame, vocabulary: Vocabulary, documents: int) -> Model:
-    """Starting point from a bounded sample, then rounds over everything."""
-    model = Model.initial(vocabulary.class_tokens)
-    if not documents:
-        return model
-    share = int(1_000_000 * min(1.0, WARM / documents))
-    warm = materialize(sequences.filter(F.pmod(F.xxhash64("classes"), F.lit(1_000_000)) < share).select("classes"), "hmm-warm")
-    for _ in range(WARM_ROUNDS):
-        model = baum_welch(model, warm, vocabulary.class_tokens)
-    for _ in range(ROUNDS):
-        model = baum_welch(model, sequences, vocabulary.class_tokens)
+    """Rounds over all ``sequences`` until their log-probability settles."""
+    model, last = Model.initial(vocabulary.class_tokens), None
+    while documents:
+        model, total = baum_welch(model, sequences, vocabulary.class_tokens)
+        if last is not None and total - last <= SETTLED * abs(last):
+            break
+        last = total
     return model
 
 

@@ -466,6 +466,26 @@ def test_expected_counts_equal_plain_forward_backward():
     assert all(np.allclose(a, b) for a, b in zip(into, (start, move, emit)))
 
 
+def test_every_training_round_sees_every_document(llm, monkeypatch):
+    from types import SimpleNamespace
+
+    from kiln.llm import hmm
+    rng = np.random.default_rng(4)
+    seqs = [np.append(rng.integers(1, 9, 20), 0).astype("<u2").tobytes() for _ in range(20)]
+    df = llm.createDataFrame([(s,) for s in seqs], "classes binary").crossJoin(llm.range(200)).select("classes").repartition(4)
+    tokens = 200.0 * np.bincount(np.frombuffer(b"".join(seqs), "<u2"), minlength=hmm.CLASSES)
+    seen, plain = [], hmm.baum_welch
+
+    def counted(model, sequences, class_tokens):
+        seen.append(sequences.count())
+        return plain(model, sequences, class_tokens)
+    monkeypatch.setattr(hmm, "baum_welch", counted)
+    model = hmm.trained(df, SimpleNamespace(class_tokens=tokens), 4000)
+    assert set(seen) == {4000} and len(seen) > 2
+    ll = hmm.likelihood(model, seqs).sum()
+    assert abs(hmm.likelihood(plain(model, df, tokens)[0], seqs).sum() - ll) <= 2 * hmm.SETTLED * abs(ll)
+
+
 def test_forward_is_exact_and_training_raises_likelihood():
     from kiln.llm import hmm
     rng = np.random.default_rng(2)
