@@ -183,6 +183,19 @@ def components(links: DataFrame) -> DataFrame:
     return nodes
 
 
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) once ``links`` are added: only links between
+    different components are contracted again."""
+    ends = links.select("a", "b")
+    for x in "ab":
+        ends = (ends.join(comps.select(F.col("node").alias(x), F.col("root").alias("r")), x, "left")
+                .withColumn(x, F.coalesce("r", x)).drop("r"))
+    over = components(ends)
+    moved = over.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = comps.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return cut_lineage(old.union(over.join(comps, "node", "left_anti").select("node", "root")))
+
+
 def star_pairs(members: DataFrame) -> DataFrame:
     """Candidate pairs of buckets: (key, rep, comp, open) rows in, one hub per
     bucket against its open members of other components out.  The hub is a
@@ -340,11 +353,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     comps = components(links)
     left = materialize(unsettled(members, comps), "near-unsettled")
     if not left.isEmpty():
-        links = cut_lineage(links.union(confirm(materialize(star_pairs(finer(left)), "near-pairs"), sets)))
-        comps = components(links)
+        comps = merged(comps, confirm(materialize(star_pairs(finer(left)), "near-pairs"), sets))
         left = materialize(unsettled(members, comps), "near-unsettled")
         if not left.isEmpty():
-            comps = components(links.union(exact_links(left, sets)))
+            comps = merged(comps, exact_links(left, sets))
     least = comps.groupBy("root").agg(F.min("node").alias("component_id"))
     named = comps.join(least, "root").select("node", "component_id")
     of_set = (classes.join(named, classes["rep"] == named["node"], "left")
