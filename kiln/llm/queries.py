@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm.common import read, ship
+from kiln.llm.common import UPPER, read, ship
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,87 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.hmm import score
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return score(docs, crc_bucket(F.col("doc_id"), 5) != 1)
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.token_counts import token_counts
+    return token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), keep=["doc_id"])
+
+
+def audit_filters() -> dict:
+    """The filters A to D of the audit query: failure conditions over whole texts."""
+    from kiln.llm.common import SPACE
+    text = F.coalesce("text", F.lit(""))
+    words = F.array_remove(F.split(text, SPACE), "")
+    n, distinct = F.size(words), F.size(F.array_distinct(words))
+    capitals = F.length(text) - F.length(F.translate(text, UPPER, ""))
+    return {"A": n < 100, "B": distinct * 100 < n * 80, "C": capitals * 100 > F.length(text) * 10, "D": text.rlike("[#$%&*|]")}
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+marks AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CAST(len(words) < 100 AS INTEGER) + CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INTEGER) * 2
+    + CAST(100 * (length(w.t) - length(regexp_replace(w.t, '[A-Z]', '', 'g'))) > 10 * length(w.t) AS INTEGER) * 4
+    + CAST(regexp_matches(w.t, '[#$%&*|]') AS INTEGER) * 8 + CAST(coalesce(w.doc_id > first_id, false) AS INTEGER) * 16 AS m
+    FROM w JOIN firsts ON w.t = firsts.t LEFT JOIN marks ON w.doc_id = marks.doc_id),
+c AS (SELECT part, m, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM f GROUP BY part, m),
+l AS (SELECT unnest([0, 1, 2, 3, 4]) AS i),
+p AS (SELECT a.i AS a, b.i AS b, c.i AS c, d.i AS d, e.i AS e FROM l a JOIN l b ON b.i <> a.i JOIN l c ON c.i NOT IN (a.i, b.i)
+    JOIN l d ON d.i NOT IN (a.i, b.i, c.i) JOIN l e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+s AS (SELECT chr(65 + a) || chr(65 + b) || chr(65 + c) || chr(65 + d) || chr(65 + e) AS filter_order, step,
+    CASE step WHEN 1 THEN a WHEN 2 THEN b WHEN 3 THEN c WHEN 4 THEN d ELSE e END AS i,
+    CASE WHEN step > 1 THEN 1 << a ELSE 0 END + CASE WHEN step > 2 THEN 1 << b ELSE 0 END + CASE WHEN step > 3 THEN 1 << c ELSE 0 END
+    + CASE WHEN step > 4 THEN 1 << d ELSE 0 END AS before FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, filter_order, step, i,
+    coalesce(sum(n) FILTER ((m & before) = 0 AND ((m >> i) & 1) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER ((m & before) = 0 AND ((m >> i) & 1) = 1), 0) AS removed,
+    coalesce(sum(n) FILTER ((m & before) <> 0 AND ((m >> i) & 1) = 1), 0) AS redundant,
+    coalesce(sum(n) FILTER (m = (1 << i)), 0) AS unique_fails,
+    coalesce(sum(g) FILTER ((m & before) = 0 AND ((m >> i) & 1) = 1), 0) AS good_lost,
+    coalesce(sum(x) FILTER ((m & before) = 0 AND ((m >> i) & 1) = 1), 0) AS toxic_lost FROM c, s GROUP BY part, filter_order, step, i)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+    CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, i) AS BIGINT) AS shapley FROM r"""
+
+
+@register("op12_filter_audit", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.filter_audit import audit
+    labels = read(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    return audit(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), audit_filters(), "E", labels, ["good", "toxic"])
+
+
+def planted_words(key, words):
+    """The word-run query's edit (its contract): a tenth of the documents, by the
+    crc32 of their id as text, become periodic from some word on."""
+    n = F.size(words)
+    h = F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    a = F.pmod(g, n).cast("int")
+    p = (F.floor((n - a) / (F.pmod(g, F.lit(8)) + 3)) + 1).cast("int")
+    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + F.pmod(i - a, p)))
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.concat(F.slice(words, 1, a), tail)).otherwise(words)
+
+
+@register("op13_word_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kiln.llm.common import SPACE
+    from kiln.llm.periodic import longest, periodic_runs
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("words", F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), ""))
+    docs = docs.select("doc_id", F.array_join(planted_words(F.col("doc_id"), F.col("words")), " ").alias("text"))
+    found = periodic_runs(docs, keep=["doc_id"]).withColumn("best", longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
