@@ -95,31 +95,57 @@ def k9_linear_trend(spark, d):
     return round_doubles(forecast.trend_fit(train, "t", "y", key="series_id"), 4)
 
 
-@register("k10_seasonal_regression")
+CUTOFF = "2000-02-29"
+
+
+def _sql_fourier_ols(order: int = 5, period: float = 365.0) -> str:
+    """Least squares in SQL by Gram–Schmidt: each term is taken out of the terms
+    behind it and of the target, with sums over the train rows; what is left of the
+    target is the residual of every row."""
+    cols = ["one", *[f"{f}{k}" for k in range(1, order + 1) for f in ("s", "c")], "y"]
+    made = ", ".join(f"{fn}(2 * pi() * {k} * t / {period}) AS {n}{k}" for k in range(1, order + 1) for fn, n in (("sin", "s"), ("cos", "c")))
+    ctes = [SQL_PANEL, SQL_TRAIN_T, f"""g0 AS (SELECT series_id, y AS actual, ds > DATE '{CUTOFF}' AS test,
+  CASE WHEN ds <= DATE '{CUTOFF}' THEN 1.0 ELSE 0.0 END AS w, CAST(1 AS DOUBLE) AS one, {made}, y FROM tt)"""]
+    for k, q in enumerate(cols[:-1]):
+        rest = ", ".join(f"{c} - {q} * sum(w * {c} * {q}) OVER p / sum(w * {q} * {q}) OVER p AS {c}" for c in cols[k + 1:])
+        ctes.append(f"g{k + 1} AS (SELECT series_id, actual, test, w, {rest} FROM g{k} WINDOW p AS (PARTITION BY series_id))")
+    return with_ctes(*ctes) + f"SELECT series_id, avg(abs(y)) AS mae, 'fourier_n5_p365' AS model FROM g{len(cols) - 1} WHERE test GROUP BY series_id"
+
+
+def _series_mae(pred):
+    return pred.filter("split = 'test'").groupBy("series_id").agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
+
+
+@register("k10_seasonal_regression", sql_round(_sql_fourier_ols(), ["mae"], 3))
 def k10_seasonal_regression(spark, d):
-    s = proxies.daily_series(spark, d)
-    pred = forecast.additive_forecast(s, "2000-02-29", n_changepoints=0, yearly=5, weekly=0, reg=0.0)
-    return forecast.forecast_mae(pred).withColumn("model", F.lit("fourier_n5_p365"))
+    pred = forecast.seasonal_regression(proxies.daily_panel(spark, d), CUTOFF)
+    return round_doubles(_series_mae(pred).withColumn("model", F.lit("fourier_n5_p365")), 3)
 
 
 @register("k11_additive_forecast")
 def k11_additive_forecast(spark, d):
-    s = proxies.daily_series(spark, d)
+    """The four variants of the additive model on the daily series of every order priority."""
+    s = proxies.daily_panel(spark, d)
+    plain, log = forecast.Setting(), forecast.Setting(multiplicative=True)
     out = None
-    for name, kw in [("trend_seasonal", {}), ("with_regressor", {"regressors": ["x_orders"]}),
-                     ("with_lags", {"regressors": ["x_orders"], "lags": [1, 7]}),
-                     ("multiplicative", {"multiplicative": True})]:
-        m = forecast.forecast_mae(forecast.additive_forecast(s, "2000-02-29", **kw)).withColumn("variant", F.lit(name))
+    for names, kw in [(("trend_seasonal", "multiplicative"), {}), (("with_regressor", None), {"regressors": ["x_orders"]}),
+                      (("with_lags", None), {"regressors": ["x_orders"], "lags": [1, 7]})]:
+        settings = [m for n, m in zip(names, (plain, log)) if n]
+        pred = forecast.forecasts(s, CUTOFF, settings, **kw).filter("split = 'test'")
+        label = F.array(*[F.lit(n) for n in names if n])[F.col("trial")]
+        m = pred.groupBy("series_id", label.alias("variant")).agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
         out = m if out is None else out.unionByName(m)
     return out
 
 
+#: The forecaster's grid (fixed values): 36 combinations.
+FORECAST_GRID = [{"changepoint_prior_scale": c, "seasonality_prior_scale": s, "multiplicative": m, "changepoint_range": r}
+                 for c in (0.01, 0.1, 0.5) for s in (1.0, 5.0, 10.0) for m in (False, True) for r in (0.8, 0.9)]
+
+
 @register("n1_grid_search")
 def n1_grid_search(spark, d):
-    s = proxies.daily_series(spark, d)
-    grid = [{"reg": r, "n_changepoints": c, "yearly": y} for r in (0.001, 0.01, 0.1, 1.0) for c in (5, 25, 50)
-            for y in (3, 5, 10)]
-    return forecast.grid_search(s, "2000-02-29", grid)
+    return forecast.grid_search(proxies.daily_panel(spark, d), CUTOFF, FORECAST_GRID, regressors=["x_orders"])
 
 
 def _als_frame(spark, d):

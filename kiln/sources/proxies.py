@@ -101,10 +101,10 @@ def daily_series(spark: SparkSession, d: str) -> DataFrame:
 
 
 def daily_panel(spark: SparkSession, d: str) -> DataFrame:
-    """The daily series of every order priority: (series_id, ds, y)."""
+    """The daily series of every order priority: (series_id, ds, y, x_orders)."""
     od = read_table(spark, d, "orders")
     return (od.groupBy(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("ds"))
-            .agg(F.sum("o_totalprice").alias("y")))
+            .agg(F.sum("o_totalprice").alias("y"), F.count(F.lit(1)).cast("double").alias("x_orders")))
 
 
 SQL_PANEL = """panel AS (
