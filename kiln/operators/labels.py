@@ -12,20 +12,26 @@ PROBS = (0.2, 0.4, 0.6, 0.8)
 LABELS = ("Very Low", "Low", "Medium", "High", "Very High")
 
 
+def counted(weekly: DataFrame, client: str, items: str) -> DataFrame:
+    """Equal (client, value) pairs with their number of rows: what the quantiles
+    of the clients and of the whole table are both read from."""
+    return weekly.groupBy(client, items).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def client_quantiles(weekly: DataFrame, client: str = "customer_id", items: str = "weekly_items",
-                     min_rows: int = 5) -> DataFrame:
+                     min_rows: int = 5, weight: str | None = None) -> DataFrame:
     """Per-client q20/q40/q60/q80 for clients with ≥ ``min_rows`` rows: exact
     positions among counted (client, value) pairs, so no task holds a client's
     values whatever their number or cardinality."""
     names = [f"q{int(p * 100)}" for p in PROBS]
-    q = exact_quantiles(weekly.filter(F.col(client).isNotNull()), items, PROBS, by=[client], names=names, count_col="_n")
-    return q.filter(F.col("_n") >= min_rows).select(client, *names)
+    q = exact_quantiles(weekly, items, PROBS, by=[client], names=names, count_col="_n", weight=weight)
+    return q.filter(F.col(client).isNotNull() & (F.col("_n") >= min_rows)).select(client, *names)
 
 
-def global_quantiles(weekly: DataFrame, items: str):
+def global_quantiles(weekly: DataFrame, items: str, weight: str | None = None):
     """Whole-table q20…q80 as an array column (scalar subquery)."""
     names = [f"q{int(p * 100)}" for p in PROBS]
-    return exact_quantiles(weekly, items, PROBS, names=names).select(F.array(*names)).scalar()
+    return exact_quantiles(weekly, items, PROBS, names=names, weight=weight).select(F.array(*names)).scalar()
 
 
 def assign_priority(weekly: DataFrame, client: str = "customer_id", items: str = "weekly_items",
@@ -34,8 +40,9 @@ def assign_priority(weekly: DataFrame, client: str = "customer_id", items: str =
     Very High, using the client's own quantiles when it has ≥ ``min_rows`` rows
     and the global ones otherwise (a null value falls through to Very High,
     like ``np.select``)."""
-    glob = global_quantiles(weekly, items)
-    per = client_quantiles(weekly, client, items, min_rows)
+    counts = counted(weekly, client, items)
+    glob = global_quantiles(counts, items, "_rows")
+    per = client_quantiles(counts, client, items, min_rows, "_rows")
     j = weekly.join(per, client, "left")
     qs = [F.coalesce(F.col(f"q{int(p * 100)}"), glob[i]) for i, p in enumerate(PROBS)]
     x = F.col(items)

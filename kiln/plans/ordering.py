@@ -7,10 +7,9 @@ offset is the running sum of the partition sizes (a table with one row per
 partition, so its broadcast is bounded by the partition count).  The number of
 partitions is left to the session and to AQE.
 
-Rows with equal order keys cannot be split by a range, so ``exact_quantiles``
-counts equal (group, value) pairs first, with map-side partial counts: a value
-that fills half of the table is one row with a large count, and the distributed
-running sum goes over distinct values only.
+``exact_quantiles`` needs positions only, so it selects instead of sorting:
+counts per (group, value), then per (group, cell of the value), and a ranking
+inside the cells that hold a wanted position.
 """
 
 from __future__ import annotations
@@ -82,48 +81,80 @@ def rank_within_group(df: DataFrame, by: list[str], order_cols: list, out: str =
     return numbered.withColumn(out, F.col("_g") - F.col("_g0")).drop("_g", "_g0")
 
 
+#: Value cells per shuffle partition, and the least and greatest number of cells: with more partitions, cells are narrower.
+CELLS_PER_PARTITION, LEAST_CELLS, MOST_CELLS = 4, 256, 16_384
+
+
+def _counted_cells(df: DataFrame, value: str, by: list[str], weight: str | None = None) -> DataFrame:
+    """(by, _v, _c, _cell): equal (group, value) pairs counted, and the cell of
+    the value.  Cells are ranges between approximate quantiles of the counted
+    values; any sorted bounds give exact results, they only decide how evenly the
+    values are spread."""
+    base = df.select(*by, F.col(value).cast("double").alias("_v"), *([F.col(weight).alias("_w")] if weight else []))
+    total = F.sum("_w") if weight else F.count(F.lit(1))
+    counts = base.filter(F.col("_v").isNotNull()).groupBy(*by, "_v").agg(total.alias("_c"))
+    cells = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * CELLS_PER_PARTITION
+    levels = max(min(cells, MOST_CELLS), LEAST_CELLS).bit_length() - 1
+    probs = F.split(F.lit(",".join(str(i / 2 ** levels) for i in range(1, 2 ** levels))), ",").cast("array<double>")
+    # reads the counts as the main plan does, so that both use one shuffle
+    finite = F.when(~F.isnan("_v") & (F.col("_c") > 0), F.col("_v"))
+    bounds = counts.agg(F.array_sort(F.percentile_approx(finite, probs, 4 * 2 ** levels)).alias("b")).scalar()
+    # binary search: the number of bounds below the value
+    out = counts.withColumn("_b", bounds).withColumn("_cell", F.lit(0))
+    for i in range(levels):
+        half = 2 ** (levels - 1 - i)
+        out = out.withColumn("_cell", F.col("_cell") + F.when(F.get("_b", F.col("_cell") + (half - 1)) < F.col("_v"), half).otherwise(0))
+    return out.drop("_b")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, by: list[str] | None = None,
-                    names: list[str] | None = None, count_col: str | None = None) -> DataFrame:
+                    names: list[str] | None = None, count_col: str | None = None, weight: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (pandas / ``percentile`` semantics) of
     ``value`` per ``by`` group, one column per probability; nulls ignored.
-    ``count_col`` adds the number of non-null values of the group."""
+    ``count_col`` adds the number of non-null values of the group.  With
+    ``weight`` a row stands for so many equal ones.
+
+    Selection instead of a sort: equal values are counted, the counts are summed per
+    (group, cell of the value), the running sums over a group's cells tell which cell
+    holds each wanted position, and only the values of those cells are ranked.  A hot
+    group lies in as many cells as there are, a hot value is one row; nothing is
+    sorted whole, checkpointed or run before the result is asked for."""
     by = list(by or [])
     names = names or [f"q{int(round(p * 100))}" for p in probs]
-    base = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))  # equal values: one row
-    ranked = rank_within_group(counts, by, ["_v"], weight="_c")
-
-    def holds(at):
-        return (F.col("_pos") <= at) & (at < F.col("_pos") + F.col("_c"))
-
-    picks = []
-    for p, name in zip(probs, names):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, frac = F.floor(pos), pos - F.floor(pos)
-        picks.append(F.struct(F.lit(name).alias("name"), holds(lo).alias("is_lo"),
-                              holds(lo + 1).alias("is_hi"), frac.alias("frac")))
-    exploded = (ranked.select(*by, "_v", "_n", F.explode(F.array(*picks)).alias("_k"))
-                .filter(F.col("_k.is_lo") | F.col("_k.is_hi")))
-    per = (exploded.groupBy(*by, F.col("_k.name").alias("_name"))
-           .agg(F.max(F.when(F.col("_k.is_lo"), F.col("_v"))).alias("_lo"),
-                F.max(F.when(F.col("_k.is_hi"), F.col("_v"))).alias("_hi"),
-                F.max("_k.frac").alias("_frac"), F.max("_n").alias("_cnt")))
-    per = per.withColumn("_q", F.when(F.col("_hi").isNull() | (F.col("_frac") == 0), F.col("_lo"))
-                         .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")))
-    extra = [F.max("_cnt").alias(count_col)] if count_col else []
-    if by:
-        return per.groupBy(*by).pivot("_name", names).agg(F.first("_q")) if not extra else \
-            per.groupBy(*by).agg(*[F.first(F.when(F.col("_name") == n, F.col("_q")), ignorenulls=True).alias(n)
-                                   for n in names], *extra)
-    return per.groupBy().pivot("_name", names).agg(F.first("_q")) if not extra else \
-        per.groupBy().agg(*[F.first(F.when(F.col("_name") == n, F.col("_q")), ignorenulls=True).alias(n)
-                            for n in names], *extra)
+    counts = _counted_cells(df, value, by, weight)
+    group = Window.partitionBy(*by)
+    running = F.sum("_s").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+    cells = (counts.groupBy(*by, "_cell").agg(F.sum("_c").alias("_s"))
+             .withColumn("_before", running - F.col("_s")).withColumn("_n", F.sum("_s").over(group)))
+
+    wants = []
+    for i, p in enumerate(probs):
+        at = (F.col("_n") - 1) * F.lit(float(p))
+        wants += [F.struct(F.lit(2 * i).alias("what"), F.floor(at).alias("at")), F.struct(F.lit(2 * i + 1).alias("what"), F.ceil(at).alias("at"))]
+    inside = F.filter(F.array(*wants), lambda w: (w["at"] >= F.col("_before")) & (w["at"] < F.col("_before") + F.col("_s")))
+    # one row per cell that holds a wanted position; groups meet null-safely: a null group is a group
+    wanted = cells.withColumn("_wants", inside).filter(F.size("_wants") > 0).drop("_s")
+    wanted = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_cell").alias("_kcell"), "_before", "_n", "_wants")
+    meet = [counts[c].eqNullSafe(wanted[f"_k_{c}"]) for c in by] + [counts["_cell"] == wanted["_kcell"]]
+    upto = F.sum("_c").over(Window.partitionBy(*by, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.join(wanted, meet).withColumn("_from", F.col("_before") - F.col("_c") + upto)
+    hits = (ranked.select(*by, "_n", "_v", "_c", "_from", F.explode("_wants").alias("_w"))
+            .filter((F.col("_w.at") >= F.col("_from")) & (F.col("_w.at") < F.col("_from") + F.col("_c"))))
+    found = [F.max(F.when(F.col("_w.what") == i, F.col("_v"))).alias(f"_{i}") for i in range(2 * len(names))]
+    per = hits.groupBy(*by).agg(*found, F.max("_n").alias("_n"))
+
+    def quantile(i):
+        at = (F.col("_n") - 1) * F.lit(float(probs[i]))
+        lo, hi, frac = F.col(f"_{2 * i}"), F.col(f"_{2 * i + 1}"), at - F.floor(at)
+        return F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias(names[i])
+
+    extra = [F.col("_n").alias(count_col)] if count_col else []
+    return per.select(*by, *[quantile(i) for i in range(len(names))], *extra)
 
 
 def exact_quantiles_multi(df: DataFrame, cols: list[str], probs, names: list[str] | None = None) -> DataFrame:
-    """Exact quantiles of several columns with ONE distributed sort: the
-    columns are stacked into (column_name, value) and ranked per column.
-    One row per column."""
+    """Exact quantiles of several columns in one pass: the columns are stacked
+    into (column_name, value) and selected per column.  One row per column."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                   F.col(c).cast("double").alias("_x")) for c in cols])).alias("_s"))
     long = long.select("_s.column_name", "_s._x")

@@ -184,16 +184,32 @@ def test_grouped_auc_matches_single(spark):
         assert got[g] == pytest.approx(want)
 
 
-def test_hot_group_is_spread_over_range_partitions(spark):
-    # one key holds a third of the rows: the range partitioning on (key, value)
-    # splits it, and the per-group quantiles stay exact
+def test_hot_group_is_spread(spark):
+    # one key holds a third of the rows: its values lie in many cells (quantiles) and, where rows
+    # are numbered, in many ranges on (key, value); the results stay exact
+    from kiln.plans.ordering import _counted_cells
     rows = [(0, float(i)) for i in range(3000)] + [(k, float(i)) for k in range(1, 60) for i in range(100)]
     df = spark.createDataFrame(rows, "g long, x double")
-    numbered = global_row_number(df, ["g", "x"], out="rn")  # the sort stage of rank_within_group
-    parts = numbered.filter("g = 0").select(F.spark_partition_id()).distinct().count()
-    assert parts > 1
+    cells = _counted_cells(df, "x", ["g"]).filter("g = 0").groupBy("_cell").count().collect()
+    assert len(cells) > 20 and max(r["count"] for r in cells) < 3000 / 10
+    numbered = global_row_number(df, ["g", "x"], out="rn", num_partitions=8)  # the sort stage of rank_within_group
+    assert numbered.filter("g = 0").select(F.spark_partition_id()).distinct().count() > 1
     q = {r.g: r.q50 for r in exact_quantiles(df, "x", [0.5], by=["g"], names=["q50"]).collect()}
-    assert q[0] == pytest.approx(1499.5) and q[1] == pytest.approx(49.5)
+    assert q[0] == 1499.5 and q[7] == 49.5
+
+
+def test_quantiles_of_odd_values_and_weights(spark):
+    """NaN is the greatest value, infinities and huge ranges are values, weights stand for rows."""
+    inf, nan = float("inf"), float("nan")
+    rows = [(None, 1e300), (None, -1e300), (None, 1e-300), ("n", nan), ("n", 1.0), ("n", 2.0), ("i", inf), ("i", -inf), ("i", 0.0), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: (r.q0, r.q50, r.q100, r.n) for r in exact_quantiles(df, "x", [0, .5, 1], by=["g"], names=["q0", "q50", "q100"], count_col="n").collect()}
+    assert got[None] == (-1e300, 1e-300, 1e300, 3) and got["i"] == (-inf, 0.0, inf, 3)
+    assert got["n"][:2] == (1.0, 2.0) and np.isnan(got["n"][2]) and "e" not in got
+    w = spark.createDataFrame([(1.0, 3), (2.0, 1), (9.0, 6)], "x double, w long")
+    assert exact_quantiles(w, "x", [.1, .3, .5], weight="w").first().asDict() == {"q10": 1.0, "q30": pytest.approx(1.7), "q50": 9.0}
+    assert tuple(exact_quantiles(df.limit(0), "x", [.5]).first()) == (None,)
+    assert exact_quantiles(df.limit(0), "x", [.5], by=["g"]).count() == 0
 
 
 def test_rank_within_group_keeps_null_group(spark):
