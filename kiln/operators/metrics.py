@@ -19,12 +19,13 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def per_class(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """Per class: support, true positives, predicted count, precision, recall,
     F1 (zero division → 0)."""
-    cm = confusion_matrix(df, y, yhat)
-    t = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"),
-                                                     F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n"))
-                                                           .otherwise(0)).alias("tp"))
-    p = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    j = t.join(p, "cls", "full").fillna(0, ["support", "tp", "predicted"])
+    # every cell of the matrix counts once for its true and once for its predicted class: one pass
+    zero, n = F.lit(0).cast("long"), F.col("n")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)
+    sides = F.array(F.struct(F.col("label").alias("cls"), n.alias("support"), hit.alias("tp"), zero.alias("predicted")),
+                    F.struct(F.col("prediction").alias("cls"), zero.alias("support"), zero.alias("tp"), n.alias("predicted")))
+    j = (confusion_matrix(df, y, yhat).select(F.inline(sides))
+         .groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "tp", "predicted")]))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
