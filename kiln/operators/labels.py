@@ -51,10 +51,12 @@ def assign_priority(weekly: DataFrame, client: str = "customer_id", items: str =
     return j.withColumn(out, label).drop(*[f"q{int(p * 100)}" for p in PROBS])
 
 
-def assign_global_priority(weekly: DataFrame, items: str = "weekly_items", out: str = "priority_global") -> DataFrame:
+def assign_global_priority(weekly: DataFrame, items: str = "weekly_items", out: str = "priority_global",
+                           client: str = "customer_id", source: DataFrame | None = None) -> DataFrame:
     """Baseline label from the global quantiles only (every client treated as
-    having too few rows)."""
-    glob = global_quantiles(weekly, items)
+    having too few rows).  ``source``: the rows that the quantiles are taken of,
+    where ``weekly`` was derived from them (its rows, with more columns)."""
+    glob = global_quantiles(counted(source if source is not None else weekly, client, items), items, "_rows")
     x = F.col(items)
     label = (F.when(x <= glob[0], LABELS[0]).when(x <= glob[1], LABELS[1]).when(x <= glob[2], LABELS[2])
              .when(x <= glob[3], LABELS[3]).otherwise(LABELS[4]))

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.operators import labels, metrics
+from kiln.operators.aggs import weekly_rollup
 from kiln.operators.splits import hash_split
 from kiln.plans.common import round_doubles, sql_round
 from kiln.plans.registry import register
 from kiln.plans.sqlparts import LABELLED_CTES, SQL_DAILY, SQL_RATINGS, with_ctes
-from kiln.plans.weekly import weekly_priority
 from kiln.sources import proxies
-from kiln.sources.tables import read_table
+from kiln.sources.tables import read_star, read_table
 
 SQL_MC = """mc AS (SELECT priority AS y, CASE
       WHEN weekly_items <= (SELECT q[1] FROM g) THEN 'Very Low' WHEN weekly_items <= (SELECT q[2] FROM g) THEN 'Low'
@@ -26,7 +26,8 @@ SQL_MC = """mc AS (SELECT priority AS y, CASE
 
 
 def multiclass_pred(spark, d):
-    lab = labels.assign_global_priority(weekly_priority(spark, d))
+    rollup = weekly_rollup(read_star(spark, d)[0])  # the labels need no dimension
+    lab = labels.assign_global_priority(labels.assign_priority(rollup), source=rollup)
     return lab.select(F.col("priority").alias("y"), F.col("priority_global").alias("yhat"))
 
 

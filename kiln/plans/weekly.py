@@ -8,7 +8,6 @@ sort-merge otherwise."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from kiln.operators.aggs import weekly_rollup
@@ -26,8 +25,4 @@ def weekly_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantile branches (per client and global) read the same roll-up exchange,
     which AQE reuses instead of recomputing the roll-up behind the joins."""
     tx, clients, products = read_star(spark, sf_dir)
-    # Read by the distinct-value checks, both quantile branches and the main
-    # branch: kept on local disk (no heap held between queries; recomputable).
-    rollup = weekly_rollup(tx).persist(StorageLevel.DISK_ONLY)
-    labelled = assign_priority(rollup)
-    return labelled.join(clients, "customer_id", "left").join(products, "product_id", "left")
+    return assign_priority(weekly_rollup(tx)).join(clients, "customer_id", "left").join(products, "product_id", "left")
