@@ -161,26 +161,34 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
             .filter(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct())
 
 
+def moves(edges: DataFrame, turn: int) -> DataFrame:
+    """(old, new): every node of ``edges`` that moves to its neighbour that comes
+    first in the turn's random order, if that comes before the node itself."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rank = F.xxhash64("b", F.lit(turn))
+    near = both.groupBy("a").agg(F.min_by("b", rank).alias("new"), F.min(rank).alias("h"))
+    return near.filter(F.col("h") < F.xxhash64("a", F.lit(turn))).select(F.col("a").alias("old"), "new")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of an undirected link table (a, b), by
     contraction: each round every node moves to its neighbour that comes first
     in a fresh random order, links are renamed and collapse, and the rounds end
-    when none is left (their number grows with the logarithm of the nodes)."""
+    when none is left (their number grows with the logarithm of the nodes).  A
+    round writes the links that are left; the nodes follow the moves of all
+    rounds, which those links determine, in one plan at the end."""
+    rounds = []
     edges = cut_lineage(links.select("a", "b").filter("a <> b").distinct())
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
-    turn = 0
     while not edges.isEmpty():
-        turn += 1
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = F.min_by("b", F.xxhash64("b", F.lit(turn)))
-        near = both.groupBy("a").agg(first.alias("c"), F.min(F.xxhash64("b", F.lit(turn))).alias("h"))
-        move = cut_lineage(near.filter(F.col("h") < F.xxhash64("a", F.lit(turn))).select(F.col("a").alias("old"), F.col("c").alias("new")))
-        nodes = cut_lineage(nodes.join(move, nodes["root"] == move["old"], "left")
-                            .select("node", F.coalesce("new", "root").alias("root")))
+        move = moves(edges, len(rounds) + 1)
+        rounds.append(move)
         one = edges.join(move, edges["a"] == move["old"], "left").select(F.coalesce("new", "a").alias("a"), "b")
         two = one.join(move, one["b"] == move["old"], "left").select("a", F.coalesce("new", "b").alias("b"))
         edges = cut_lineage(two.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return nodes
+    for move in rounds:
+        nodes = nodes.join(move, nodes["root"] == move["old"], "left").select("node", F.coalesce("new", "root").alias("root"))
+    return cut_lineage(nodes)
 
 
 def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
