@@ -64,9 +64,11 @@ def encode_text(enc, text: str):
 
 
 def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", keep: list[str] | None = None,
-           ids: str = "ids", n_tokens: str = "n_tokens", decoded: str | None = None) -> DataFrame:
+           ids: str = "ids", n_tokens: str = "n_tokens", decoded: str | None = None, digests: bool = False) -> DataFrame:
     """``keep`` columns plus ``ids`` (binary: little-endian uint32 tokens) and
-    ``n_tokens``; with ``decoded`` also the bytes that the ids decode to.
+    ``n_tokens``; with ``decoded`` also the bytes that the ids decode to.  With
+    ``digests`` the two columns hold the lowercase hex sha256 of those bytes, taken
+    where they are made, so that neither goes back to the JVM.
 
     The rank file is read on the driver and sent as one broadcast; its size is
     the vocabulary's, whatever the data."""
@@ -74,30 +76,37 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text: str = "text", keep
     with open(rank_path, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())
     keep = [c for c in (df.columns if keep is None else keep) if c not in (ids, n_tokens, decoded)]
-    fields = [df.schema[c] for c in keep] + [T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType())]
+    kind = T.StringType() if digests else T.BinaryType()
+    fields = [df.schema[c] for c in keep] + [T.StructField(ids, kind), T.StructField(n_tokens, T.LongType())]
     if decoded:
-        fields.append(T.StructField(decoded, T.BinaryType()))
+        fields.append(T.StructField(decoded, kind))
 
     def run(batches):
         import pyarrow as pa
+        from hashlib import sha256
         enc = encoding(ranks.value, pattern)
         names = [f.name for f in fields]
+        arrow = pa.string() if digests else pa.binary()
+
+        def made(data):
+            return sha256(data).hexdigest() if digests else data
+
         for batch in batches:
             texts, at = batch.column(batch.num_columns - 1), 0
             while at < batch.num_rows:
                 first, size, packed, counts, back = at, 0, [], [], []
                 while at < batch.num_rows and size < OUT_BYTES:
                     tokens = encode_text(enc, texts[at].as_py() or "")
-                    packed.append(tokens.astype("<u4").tobytes())
+                    packed.append(made(tokens.astype("<u4").tobytes()))
                     counts.append(len(tokens))
                     if decoded:
-                        back.append(enc.decode_bytes(tokens.tolist()))
+                        back.append(made(enc.decode_bytes(tokens.tolist())))
                     size += len(packed[-1])
                     at += 1
                 out = [batch.column(i).slice(first, at - first) for i in range(len(keep))]
-                out += [pa.array(packed, pa.binary()), pa.array(counts, pa.int64())]
+                out += [pa.array(packed, arrow), pa.array(counts, pa.int64())]
                 if decoded:
-                    out.append(pa.array(back, pa.binary()))
+                    out.append(pa.array(back, arrow))
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
     # the text goes last and under a name of its own: ``keep`` may hold it too

@@ -40,9 +40,7 @@ def bpe_pattern() -> str:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kiln.llm.bpe import encode
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = encode(docs, bpe_file(), bpe_pattern(), keep=["doc_id"], decoded="decoded")
-    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(docs, bpe_file(), bpe_pattern(), keep=["doc_id"], ids="ids_sha256", decoded="decoded_sha256", digests=True)
 
 
 @register("op4_ring_shards")
