@@ -17,8 +17,7 @@ from kiln.plans.common import round_doubles, sql_round
 from kiln.plans.registry import register
 from kiln.plans.sqlparts import LABELLED_CTES, SQL_PANEL, with_ctes
 from kiln.plans.weekly import weekly_priority
-from kiln.session import scratch_path
-from kiln.sources import proxies
+from kiln.sources import proxies, store
 
 NUMERIC = ["week", "size", "price", "acctbal"]
 CATEGORICAL = ["customer_type", "brand", "category"]
@@ -258,19 +257,31 @@ def m13_leaderboard(spark, d):
 
 # ------------------------------------------------------------ tuning, explain ----
 
+def _forest_runs(spark, d):
+    """The random search over forests on these tables, logged in the shared folder under
+    a run id of the data and the trials; what is logged already is not fitted again."""
+    space = {"numTrees": (10, 60), "maxDepth": (3, 10), "subsamplingRate": (0.5, 1.0)}
+    trials = explain.random_search_space(space, 30)
+    tables = [f"{d}/{t}.parquet" for t in ("lineitem", "orders", "customer", "part")]
+    folder, run_id = store.shared_folder(spark, "runs-priority-rf"), store.version_of(spark, tables, trials, NUMERIC, CATEGORICAL, IDS)
+    if all(store.published(spark, f"{folder}/run_id={run_id}/trial_id={i}") for i in range(len(trials))):
+        return store.read_log(spark, folder, explain.RUN_SCHEMA, run_id)
+    data, _, _ = priority_prepared(spark, d)
+    try:
+        return explain.run_trials(lambda **p: RandomForestClassifier(seed=42, **p), data.filter(F.col("split") == "train"),
+                                  data.filter(F.col("split") == "val"), trials, folder, "priority_rf", run_id)
+    finally:
+        data.unpersist()
+
+
 @register("n2_random_search")
 def n2_random_search(spark, d):
-    data, _, _ = priority_prepared(spark, d)
-    trials = explain.random_search_space({"numTrees": (10, 60), "maxDepth": (3, 10), "subsamplingRate": (0.5, 1.0)},
-                                         30)
-    runs = explain.run_trials(lambda **p: RandomForestClassifier(seed=42, **p), data.filter(F.col("split") == "train"),
-                              data.filter(F.col("split") == "val"), trials, scratch_path(spark, "runs"), "priority_rf")
-    return runs
+    return _forest_runs(spark, d).drop("run_id")
 
 
 @register("n3_best_run")
 def n3_best_run(spark, d):
-    return explain.best_run(n2_random_search(spark, d))
+    return explain.best_run(_forest_runs(spark, d))
 
 
 def _feature_names(data):
@@ -288,7 +299,10 @@ def n4_recursive_elimination(spark, d):
     names = _feature_names(data)
     kept, history = explain.recursive_elimination(lambda: RandomForestClassifier(numTrees=30, maxDepth=6, seed=42),
                                                   data.filter(F.col("split") == "train"), names)
-    return spark.createDataFrame([(n,) for n in kept], "feature STRING")
+    data.unpersist()
+    # one row per round; the last round's features are the kept ones
+    rows = [(r, n, acc, sorted(kept) if r == len(history) - 1 else None) for r, n, acc in history]
+    return spark.createDataFrame(rows, "round INT, n_features INT, train_accuracy DOUBLE, kept ARRAY<STRING>")
 
 
 @register("n5_impurity_importance")
