@@ -16,20 +16,21 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
     return df.groupBy(F.col(y).alias("label"), F.col(yhat).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def per_class(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """Per class: support, true positives, predicted count, precision, recall,
-    F1 (zero division → 0)."""
+def per_class(df: DataFrame, y: str, yhat: str, by: list[str] | None = None) -> DataFrame:
+    """Per class (of every ``by`` group): support, true positives, predicted count,
+    precision, recall, F1 (zero division → 0)."""
+    by = list(by or [])
     # every cell of the matrix counts once for its true and once for its predicted class: one pass
     zero, n = F.lit(0).cast("long"), F.col("n")
     hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)
     sides = F.array(F.struct(F.col("label").alias("cls"), n.alias("support"), hit.alias("tp"), zero.alias("predicted")),
                     F.struct(F.col("prediction").alias("cls"), zero.alias("support"), zero.alias("tp"), n.alias("predicted")))
-    j = (confusion_matrix(df, y, yhat).select(F.inline(sides))
-         .groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("support", "tp", "predicted")]))
+    cells = df.groupBy(*by, F.col(y).alias("label"), F.col(yhat).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+    j = (cells.select(*by, F.inline(sides)).groupBy(*by, "cls").agg(*[F.sum(c).alias(c) for c in ("support", "tp", "predicted")]))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-    return j.select("cls", "support", "tp", "predicted", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
+    return j.select(*by, "cls", "support", "tp", "predicted", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
 
 
 def classification_summary(df: DataFrame, y: str, yhat: str) -> DataFrame:
