@@ -78,11 +78,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove the scratch tables of this application (results that still read
-    them must be used before)."""
+def scratch_mark(spark: SparkSession) -> int:
+    """The number of scratch tables so far, for ``clear_scratch``."""
+    return len(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, start: int = 0, end: int | None = None) -> None:
+    """Remove the scratch tables of this application, or those numbered ``start``
+    to ``end`` (results that still read them must be used before)."""
     sc = spark.sparkContext
-    for path in _scratch.pop(sc.applicationId, []):
+    mine = _scratch.get(sc.applicationId, [])
+    gone, mine[start:end] = mine[start:end], []
+    for path in gone:
         where = sc._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 
