@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import materialize
 from kiln.llm.url_filter import MAX_BLOCKS, _block, _mask, bloom_filter
-from kiln.session import cut_lineage
+from kiln.session import clear_scratch, cut_lineage, scratch_mark
 
 BANDS, ROWS, WIDTH, PERCENT = 32, 4, 5, 75
 #: Size classes of the exact turn and how far apart two similar sets' classes can be; members up to
@@ -379,8 +379,13 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """``docs`` without near duplicates: of every component the document with
     the smallest id stays, once.  Rows without an id cannot be told apart by it
     and stay."""
-    kept = materialize(link(docs, key, text).filter("kept AND doc_id IS NOT NULL")
+    spark = docs.sparkSession
+    mark = scratch_mark(spark)
+    linked = link(docs, key, text)
+    end = scratch_mark(spark)
+    kept = materialize(linked.filter("kept AND doc_id IS NOT NULL")
                        .groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")), "near-kept")
+    clear_scratch(spark, mark, end)  # what follows reads ``kept`` and the documents only
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_id"), F.xxhash64(text).alias("_h"))
     met = rows.join(kept, F.col("_id") == F.col("_kept"))
     out = met.filter("_rows = 1").select("_row.*")
