@@ -124,7 +124,7 @@ def k10_seasonal_regression(spark, d):
 @register("k11_additive_forecast")
 def k11_additive_forecast(spark, d):
     """The four variants of the additive model on the daily series of every order priority."""
-    s = proxies.daily_panel(spark, d)
+    s = proxies.daily_panel(spark, d, orders=True)
     plain, log = forecast.Setting(), forecast.Setting(multiplicative=True)
     out = None
     for names, kw in [(("trend_seasonal", "multiplicative"), {}), (("with_regressor", None), {"regressors": ["x_orders"]}),
@@ -144,7 +144,7 @@ FORECAST_GRID = [{"changepoint_prior_scale": c, "seasonality_prior_scale": s, "m
 
 @register("n1_grid_search")
 def n1_grid_search(spark, d):
-    return forecast.grid_search(proxies.daily_panel(spark, d), CUTOFF, FORECAST_GRID, regressors=["x_orders"])
+    return forecast.grid_search(proxies.daily_panel(spark, d, orders=True), CUTOFF, FORECAST_GRID, regressors=["x_orders"])
 
 
 def _als_frame(spark, d):

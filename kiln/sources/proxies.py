@@ -100,11 +100,12 @@ def daily_series(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("series_id", F.lit("all")))
 
 
-def daily_panel(spark: SparkSession, d: str) -> DataFrame:
-    """The daily series of every order priority: (series_id, ds, y, x_orders)."""
+def daily_panel(spark: SparkSession, d: str, orders: bool = False) -> DataFrame:
+    """The daily series of every order priority: (series_id, ds, y), with ``orders``
+    also the day's number of orders, x_orders."""
     od = read_table(spark, d, "orders")
     return (od.groupBy(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("ds"))
-            .agg(F.sum("o_totalprice").alias("y"), F.count(F.lit(1)).cast("double").alias("x_orders")))
+            .agg(F.sum("o_totalprice").alias("y"), *([F.count(F.lit(1)).cast("double").alias("x_orders")] if orders else [])))
 
 
 SQL_PANEL = """panel AS (
