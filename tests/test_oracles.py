@@ -11,7 +11,7 @@ from scripts.check_oracle import TABLES, rows_of
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
 FAST_ROWS_ONLY = ["i17_pacf_lags", "k9_linear_trend", "n9_greedy_rule", "o4_top_n_recommendations",
-                  "k15_content_neighbours", "s3_stream_alerts", "k11_additive_forecast", "n1_grid_search",
+                  "s3_stream_alerts", "k11_additive_forecast", "n1_grid_search",
                   "k12_als_nonnegative", "k13_als_biased"]
 #: Columns that lie in [0, 1], and columns that are not negative; queries whose table may be empty here.
 SHARES = {"accuracy", "macro_f1", "weighted_f1", "precision", "recall", "sim", "probability", "coverage"}
