@@ -10,13 +10,14 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kiln.operators import aggs, drift, explain, factorise, forecast, metrics, models
+from kiln.operators import aggs, drift, explain, factorise, forecast, metrics, models, treeshap
 from kiln.operators.clean import hash_sample
 from kiln.operators.splits import ordered_holdout, stratified_folds
 from kiln.plans.common import round_doubles, sql_round
 from kiln.plans.registry import register
 from kiln.plans.sqlparts import LABELLED_CTES, SQL_PANEL, with_ctes
 from kiln.plans.weekly import weekly_priority
+from kiln.session import cut_lineage
 from kiln.sources import proxies, store
 
 NUMERIC = ["week", "size", "price", "acctbal"]
@@ -341,6 +342,19 @@ def n7_shapley(spark, d):
     return explain.shapley_mean_abs(predict, rows, background, _DOC_COLS, "doc_id", n_perm=8)
 
 
+@register("n7_shapley_by_class")
+def n7_shapley_by_class(spark, d):
+    """The priority forest, explained exactly on every held-out row."""
+    data, _, classes = priority_prepared(spark, d)
+    model = RandomForestClassifier(numTrees=30, maxDepth=6, seed=42).fit(data.filter(F.col("split") == "train"))
+    names = _feature_names(data)
+    # the label code after the known classes stands for a label the training rows lack
+    got = treeshap.shapley_by_class(model, data.filter(F.col("split") == "test"), IDS + ["week"], names, [*classes, "other"][:model.numClasses])
+    got = cut_lineage(got)
+    data.unpersist()
+    return got
+
+
 @register("n8_partial_dependence")
 def n8_partial_dependence(spark, d):
     train, f = (x.drop("features") for x in _doc_split(spark, d))  # explained: held-out rows
