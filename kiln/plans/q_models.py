@@ -10,7 +10,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kiln.operators import aggs, drift, explain, factorise, forecast, metrics, models, treeshap
+from kiln.operators import aggs, boosting, drift, explain, factorise, forecast, metrics, models, treeshap
 from kiln.operators.clean import hash_sample
 from kiln.operators.splits import ordered_holdout, stratified_folds
 from kiln.plans.common import round_doubles, sql_round
@@ -74,6 +74,16 @@ for _id, _name in [("k2", "logistic_regression"), ("k3", "linear_svc"), ("k4", "
     register(f"{_id}_{_name}")(_classifier_query(_name))
 
 
+@register("k6_softmax_boosting")
+def k6_softmax_boosting(spark, d):
+    """Boosting with one softmax over all classes, beside the one-against-rest trees."""
+    data, _, classes = priority_prepared(spark, d)
+    model = boosting.fit_boosted(data.filter(F.col("split") == "train"), len(classes))
+    out = cut_lineage(models.evaluate(model, data.drop("probability", "prediction")))
+    data.unpersist()
+    return out
+
+
 @register("k7_gbt_regression")
 def k7_gbt_regression(spark, d):
     data, _, _ = priority_prepared(spark, d)
