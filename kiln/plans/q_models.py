@@ -10,7 +10,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kiln.operators import aggs, boosting, drift, explain, factorise, forecast, metrics, models, treeshap
+from kiln.operators import aggs, boosting, drift, explain, factorise, forecast, metrics, models, rules, treeshap
 from kiln.operators.clean import hash_sample
 from kiln.operators.splits import ordered_holdout, stratified_folds
 from kiln.plans.common import round_doubles, sql_round
@@ -410,6 +410,42 @@ def n9_greedy_rule(spark, d):
     return explain.rule_stats(lab, rule, target).withColumn("rule", F.lit(" AND ".join(chosen)))
 
 
+def _sql_rule_search(bins: int, top: int, least: float) -> str:
+    """All rules of one or two terms over the same intervals and values, row by row."""
+    probs = ", ".join(str(i / bins) for i in range(1, bins))
+    cuts = " UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS col, unnest(quantile_cont(CAST({c} AS DOUBLE), [{probs}])) AS q FROM lab"
+                              for i, c in enumerate(NUMERIC))
+    values = " UNION ALL ".join([f"SELECT rid, hit, {i} AS place, CAST({c} AS DOUBLE) AS x, CAST(NULL AS VARCHAR) AS v FROM r" for i, c in enumerate(NUMERIC)]
+                                + [f"SELECT rid, hit, {len(NUMERIC) + i} AS place, CAST(NULL AS DOUBLE) AS x, CAST({c} AS VARCHAR) AS v FROM r"
+                                   for i, c in enumerate(CATEGORICAL)])
+    names = ", ".join(f"({len(NUMERIC) + i}, '{c}')" for i, c in enumerate(CATEGORICAL))
+    return with_ctes(*LABELLED_CTES) + f"""
+, r AS (SELECT *, row_number() OVER () AS rid, CAST(coalesce(priority IN ('High', 'Very High'), false) AS INTEGER) AS hit FROM lab),
+cut AS (SELECT DISTINCT place, col, round(q, 6) AS q FROM ({cuts}) WHERE q IS NOT NULL),
+ends AS (SELECT place, col, q FROM cut UNION ALL SELECT DISTINCT place, col, NULL FROM cut),
+iv AS (SELECT a.place, a.q AS lo, b.q AS hi, concat_ws(' AND ', CASE WHEN a.q IS NOT NULL THEN a.col || ' > ' || CAST(a.q AS VARCHAR) END,
+         CASE WHEN b.q IS NOT NULL THEN a.col || ' <= ' || CAST(b.q AS VARCHAR) END) AS term
+       FROM ends a JOIN ends b ON a.place = b.place AND (a.q < b.q OR (a.q IS NULL) <> (b.q IS NULL))),
+vals AS ({values}),
+nm AS (SELECT * FROM (VALUES {names}) t(place, col)),
+m AS (SELECT rid, hit, vals.place, term FROM vals JOIN iv ON iv.place = vals.place AND (lo IS NULL OR x > lo) AND (hi IS NULL OR x <= hi) WHERE x IS NOT NULL
+      UNION ALL SELECT rid, hit, vals.place, col || ' = ''' || v || '''' FROM vals JOIN nm ON nm.place = vals.place WHERE v IS NOT NULL),
+ru AS (SELECT term AS rule, 1 AS n_terms, count(*) AS n, sum(hit) AS h FROM m GROUP BY place, term
+       UNION ALL SELECT a.term || ' AND ' || b.term, 2, count(*), sum(a.hit) FROM m a JOIN m b ON a.rid = b.rid AND a.place < b.place
+       GROUP BY a.place, a.term, b.place, b.term),
+best AS (SELECT *, row_number() OVER (ORDER BY h / n DESC, n DESC, n_terms, rule) AS rk FROM ru WHERE n >= {least} * (SELECT count(*) FROM r))
+SELECT CAST(rk AS INTEGER) AS rank, rule, CAST(n_terms AS INTEGER) AS n_terms, n / (SELECT count(*) FROM r) AS coverage,
+       h / n AS precision, CAST(n AS BIGINT) AS n_covered FROM best WHERE rk <= {top}"""
+
+
+@register("n9_rule_search", sql_round(_sql_rule_search(4, 20, 0.01), ["coverage", "precision"]))
+def n9_rule_search(spark, d):
+    """The 20 best of all rules of one or two terms over quartile intervals and values."""
+    found = rules.rule_search(weekly_priority(spark, d), F.col("priority").isin("High", "Very High"), NUMERIC, CATEGORICAL,
+                              bins=4, max_terms=2, beam=2_000, min_coverage=0.01)
+    return round_doubles(found)
+
+
 _P = ("(SELECT o_totalprice AS v FROM orders WHERE o_orderdate {op} DATE '1998-07-01' AND o_totalprice IS NOT NULL)")
 
 
