@@ -48,16 +48,17 @@ def weekly_rollup(tx: DataFrame, clients: DataFrame | None = None, products: Dat
 def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, exact 25/50/75 %, max per column, one row per column."""
     cols = cols or numeric_columns(df)
-    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
-    stats = []
-    for c in cols:
+    names = ["p25", "p50", "p75"]
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75], names=names)
+
+    def stats(c):
         x = F.col(c).cast("double")
-        q = qs.filter(F.col("column_name") == c)
-        s = df.agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                   F.min(x).alias("min"), F.max(x).alias("max"))
-        stats.append(s.select(F.lit(c).alias("column_name"), "n", "mean", "std", "min",
-                              *[q.select(n).scalar().alias(n) for n in ("p25", "p50", "p75")], "max"))
-    return reduce(DataFrame.unionByName, stats)
+        return F.struct(F.lit(c).alias("column_name"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                        F.min(x).alias("min"), F.max(x).alias("max"))
+
+    # one aggregate for all columns; an empty table keeps its row per column
+    one = df.agg(F.array(*[stats(c) for c in cols]).alias("_s")).select(F.inline("_s"))
+    return one.join(qs, "column_name", "left").select("column_name", "n", "mean", "std", "min", *names, "max")
 
 
 def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

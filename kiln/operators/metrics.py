@@ -33,11 +33,11 @@ def per_class(df: DataFrame, y: str, yhat: str, by: list[str] | None = None) ->
     return j.select(*by, "cls", "support", "tp", "predicted", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
 
 
-def classification_summary(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """M2: accuracy and macro / weighted precision, recall, F1 in one row."""
-    pc = per_class(df, y, yhat)
+def classification_summary(df: DataFrame, y: str, yhat: str, by: list[str] | None = None) -> DataFrame:
+    """M2: accuracy and macro / weighted precision, recall, F1 in one row (one per ``by`` group)."""
+    pc = per_class(df, y, yhat, by)
     tot = F.sum("support")
-    return pc.agg((F.sum("tp") / tot).alias("accuracy"),
+    return pc.groupBy(*(by or [])).agg((F.sum("tp") / tot).alias("accuracy"),
                   F.avg("precision").alias("macro_precision"), F.avg("recall").alias("macro_recall"),
                   F.avg("f1").alias("macro_f1"),
                   (F.sum(F.col("precision") * F.col("support")) / tot).alias("weighted_precision"),
