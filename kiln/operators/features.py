@@ -132,15 +132,20 @@ class StandardScaler:
 class OneHotDropFirst:
     """I8: one int column per category except the alphabetically first;
     an unseen category raises (``handle_unknown='error'``) or gives all zeros
-    (``'ignore'``).  The category list is the fitted state (bounded by the
-    cardinality of a categorical column)."""
+    (``'ignore'``).  The category list is the fitted state: a column of more than
+    ``max_categories`` values raises instead of coming to the driver (such a column
+    is an id: see ``IdEncoder``)."""
     cols: list[str]
     handle_unknown: str = "error"
     categories: dict = field(default_factory=dict)
+    max_categories: int = 1_000
 
     def fit(self, df: DataFrame) -> "OneHotDropFirst":
         for c in self.cols:
-            vals = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+            found = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).limit(self.max_categories + 1)
+            vals = [r[0] for r in found.collect()]
+            if len(vals) > self.max_categories:
+                raise ValueError(f"column {c} has more than {self.max_categories} categories")
             self.categories[c] = vals
         return self
 

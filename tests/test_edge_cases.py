@@ -300,3 +300,11 @@ def test_one_client_scores_equal_the_whole_scoring(spark, small_dir):
     one = {tuple(r) for r in q["o3_score_one_client"](spark, small_dir).collect()}
     client = next(iter(one))[0]
     assert one == {tuple(r) for r in q["o2_score_candidates"](spark, small_dir).filter(F.col("customer_id") == client).collect()}
+
+
+def test_one_hot_refuses_an_unbounded_category(spark):
+    from kiln.operators.features import OneHotDropFirst
+    df = spark.range(12).selectExpr("cast(id % 6 as string) AS c")
+    assert len(OneHotDropFirst(["c"], max_categories=6).fit(df).categories["c"]) == 6
+    with pytest.raises(ValueError, match="more than 5"):
+        OneHotDropFirst(["c"], max_categories=5).fit(df)
