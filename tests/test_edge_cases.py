@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 
 import numpy as np
 import pandas as pd
@@ -308,3 +309,22 @@ def test_one_hot_refuses_an_unbounded_category(spark):
     assert len(OneHotDropFirst(["c"], max_categories=6).fit(df).categories["c"]) == 6
     with pytest.raises(ValueError, match="more than 5"):
         OneHotDropFirst(["c"], max_categories=5).fit(df)
+
+
+def test_fact_join_partitions_grow_with_the_files(spark, small_dir, monkeypatch):
+    from kiln.plans.weekly import weekly_data
+    from kiln.sources import proxies, tables
+    from kiln.sources.tables import join_partitions
+    names = ("lineitem", "orders")
+    assert join_partitions(spark, small_dir, *names) is None  # small files: Spark's choice
+    want = {tuple(r) for r in weekly_data(spark, small_dir).collect()}
+    plain = proxies.transactions(spark, small_dir).count()
+    monkeypatch.setattr(tables, "COUNTED_FROM", 0)
+    monkeypatch.setattr(tables, "PARTITION_BYTES", 8_000)
+    n = join_partitions(spark, small_dir, *names)
+    size = sum(os.path.getsize(os.path.join(small_dir, f"{t}.parquet")) for t in names)
+    assert n == -(-size // 8_000) > 8
+    tx = proxies.transactions(spark, small_dir)
+    sizes = tx.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) < plain / 4 and sum(r["count"] for r in sizes) == plain
+    assert {tuple(r) for r in weekly_data(spark, small_dir).collect()} == want
