@@ -1,5 +1,6 @@
 """Hand-made edge tables (null, tie, constant, single-row cases)."""
 
+import re
 import datetime as dt
 import math
 import os
@@ -328,3 +329,18 @@ def test_fact_join_partitions_grow_with_the_files(spark, small_dir, monkeypatch)
     sizes = tx.groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) > 8 and max(r["count"] for r in sizes) < plain / 4 and sum(r["count"] for r in sizes) == plain
     assert {tuple(r) for r in weekly_data(spark, small_dir).collect()} == want
+
+
+def test_roll_up_and_quantile_counts_are_spread_by_the_files(spark, small_dir, monkeypatch):
+    """Large files: the tasks that hold the sums and the counts grow in number, and the labels stay."""
+    from kiln.plans.weekly import weekly_priority
+    from kiln.sources import tables
+    few = sorted(map(tuple, weekly_priority(spark, small_dir).collect()))
+    monkeypatch.setattr(tables, "COUNTED_FROM", 0)
+    monkeypatch.setattr(tables, "PARTITION_BYTES", 8_000)
+    n = tables.join_partitions(spark, small_dir, "lineitem", "orders")
+    spread = weekly_priority(spark, small_dir)
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"RepartitionByExpression \[customer_id#\d+L, week#\d+, product_id#\d+L\], {n}\b", plan)
+    assert re.search(rf"RepartitionByExpression \[customer_id#\d+L, weekly_items#\d+\], {n}\b", plan)
+    assert sorted(map(tuple, spread.collect())) == few
