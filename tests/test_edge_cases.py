@@ -1,9 +1,9 @@
 """Hand-made edge tables (null, tie, constant, single-row cases)."""
 
-import re
 import datetime as dt
 import math
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -344,3 +344,18 @@ def test_roll_up_and_quantile_counts_are_spread_by_the_files(spark, small_dir, m
     assert re.search(rf"RepartitionByExpression \[customer_id#\d+L, week#\d+, product_id#\d+L\], {n}\b", plan)
     assert re.search(rf"RepartitionByExpression \[customer_id#\d+L, weekly_items#\d+\], {n}\b", plan)
     assert sorted(map(tuple, spread.collect())) == few
+
+
+def test_prepared_rows_of_large_tables_are_reread_in_few_partitions(spark, small_dir, monkeypatch):
+    """A pass of a fit has a task per file split, not one per shuffle partition; rows and columns stay."""
+    from kiln.plans import q_models
+    cached, _, _ = q_models.priority_prepared(spark, small_dir)
+    want, names, schema = sorted(map(str, cached.collect())), q_models._feature_names(cached), cached.schema
+    cached.unpersist()
+    monkeypatch.setattr(q_models, "LAID_OUT_FROM", 0)
+    laid, _, _ = q_models.priority_prepared(spark, small_dir)
+    assert laid.inputFiles()  # a table: no plan behind it
+    assert laid.rdd.getNumPartitions() <= max(4, spark.sparkContext.defaultParallelism)
+    assert laid.columns == schema.names and q_models._feature_names(laid) == names
+    assert laid.schema["label"].metadata == schema["label"].metadata
+    assert sorted(map(str, laid.collect())) == want
