@@ -35,21 +35,30 @@ from kiln.llm.common import materialize
 
 OWN, TAILS, LISTED, STATES = 8192, 256, 65_000, 8
 CLASSES = 1 + OWN + TAILS  # class 0 is the end of a document
-BLOCK, SEED = 64, 5
+SEED, SCALED = 5, 8  # the recursions are scaled at every SCALED-th step: far from underflow for probabilities of 1e-30 a step
+CHUNK, POOL = 400_000, 20  # tokens walked at once, and how many such lots are sorted by length before
+HELD, BLOCK = 600_000, 64  # more tokens than HELD (a very long text) are walked in blocks of so many steps
 SETTLED = 1e-4  # gain in log-probability, as a share of it, below which the rounds end
 PRIOR = 200.0  # pseudo-tokens by which a state's emissions lean on the class frequencies
 _UP = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def words(text: bytes):
-    """(hash, tail class) of the words of a UTF-8 text, in order."""
+def words(texts: list):
+    """(hash, tail class) of the distinct words of UTF-8 texts, and each text's words as places in these, in order."""
+    from collections import defaultdict
+    from itertools import count
+
     import numpy as np
     import xxhash
-    w = text.translate(_UP).split()  # splits at 0x20 and 0x09-0x0D only
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)).view(np.int64)
-    size = np.fromiter(map(len, w), np.int64, len(w))
-    last = np.frombuffer(bytes([x[-1] for x in w]), np.uint8)
-    return h, ((last & 31).astype(np.int16) * 8 + np.minimum(size, 15) // 2).astype(np.int16)
+    seen = defaultdict(count().__next__)
+    at = []
+    for t in texts:
+        w = (t or b"").translate(_UP).split()  # splits at 0x20 and 0x09-0x0D only
+        at.append(np.fromiter(map(seen.__getitem__, w), np.int64, len(w)))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
+    size = np.fromiter(map(len, seen), np.int64, len(seen))
+    last = np.frombuffer(bytes([x[-1] for x in seen]), np.uint8)
+    return h, ((last & 31).astype(np.int16) * 8 + np.minimum(size, 15) // 2).astype(np.int16), at
 
 
 def counted(docs: DataFrame, text: str) -> DataFrame:
@@ -58,11 +67,9 @@ def counted(docs: DataFrame, text: str) -> DataFrame:
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            found = [words(t.as_py() or b"") for t in batch.column(0)]
-            h = np.concatenate([x for x, _ in found]) if found else np.empty(0, np.int64)
-            tail = np.concatenate([x for _, x in found]) if found else np.empty(0, np.int16)
-            u, first, c = np.unique(h, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(tail[first]), pa.array(c.astype(np.int64))], names=["h", "tail", "c"])
+            h, tail, at = words([t.as_py() for t in batch.column(0)])
+            c = np.bincount(np.concatenate([np.empty(0, np.int64), *at]), minlength=len(h))
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(tail), pa.array(c.astype(np.int64))], names=["h", "tail", "c"])
 
     parts = docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(run, "h long, tail short, c long")
     return parts.groupBy("h").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
@@ -121,18 +128,20 @@ def encoded(docs: DataFrame, vocabulary, keep: list[str], text: str) -> DataFram
         end = float(np.log10(v.documents + 0.5))
         for batch in batches:
             seqs, n, known, base, inner, rest, many, offsets = [], [], [], [], [], [], [], [0]
-            for t in batch.column(batch.num_columns - 1):
-                h, tail = words(t.as_py() or b"")
-                at = np.minimum(np.searchsorted(v.h, h), max(len(v.h) - 1, 0))
-                hit = (v.h[at] == h) if len(v.h) else np.zeros(len(h), bool)
-                rank = np.where(hit, v.rank[at], LISTED) if len(v.h) else np.full(len(h), LISTED)
-                own = rank < OWN
-                weight = v.weight[at[hit]]
-                seqs.append(np.append(np.where(own, 1 + rank, 1 + OWN + tail), 0).astype("<u2").tobytes())
+            every, tails, places = words([t.as_py() for t in batch.column(batch.num_columns - 1)])
+            at = np.minimum(np.searchsorted(v.h, every), max(len(v.h) - 1, 0))
+            hits = (v.h[at] == every) if len(v.h) else np.zeros(len(every), bool)
+            ranks = np.where(hits, v.rank[at], LISTED) if len(v.h) else np.full(len(every), LISTED)
+            weights = v.weight[at] if len(v.h) else np.zeros(len(every))
+            classes = np.where(ranks < OWN, 1 + ranks, 1 + OWN + tails).astype("<u2")
+            for i in places:
+                h, hit, own = every[i], hits[i], ranks[i] < OWN
+                weight = weights[i][hit]
+                seqs.append(np.append(classes[i], np.zeros(1, "<u2")).tobytes())
                 n.append(len(h) + 1)
                 known.append(int(hit.sum()) + (v.documents > 0))
                 base.append(float(weight.sum()) + end)
-                inner.append(float(weight[~own[hit]].sum()) - float(v.tail_total[tail[~own]].sum()))
+                inner.append(float(weight[~own[hit]].sum()) - float(v.tail_total[tails[i][~own]].sum()))
                 u, c = np.unique(h[~hit], return_counts=True)
                 rest.append(u)
                 many.append(c)
@@ -173,95 +182,139 @@ class Model:
         return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def _packed(seqs):
-    """Texts' classes end to end, longest first: (flat, starts, lengths, order)."""
-    import numpy as np
-    n = np.array([len(s) // 2 for s in seqs])
-    flat = np.frombuffer(b"".join(seqs), "<u2")
-    starts = np.concatenate([[0], np.cumsum(n)])[:-1]
-    order = np.argsort(-n, kind="stable")
-    return flat, starts[order], n[order], order
+class _Texts:
+    """Class sequences, longest first, walked one place of all texts at a time.
+    Arrays are states x tokens, ordered by place, then text."""
+
+    def __init__(self, model: Model, seqs):
+        import numpy as np
+        n = np.array([len(s) // 2 for s in seqs], np.int64)
+        self.order = np.argsort(-n, kind="stable")
+        self.flat, self.size = np.frombuffer(b"".join(seqs), "<u2"), n[self.order]
+        self.starts = (np.cumsum(n) - n)[self.order]
+        steps = int(n.max()) if len(n) else 0
+        self.live = np.searchsorted(-self.size, -np.arange(steps + 1), "left").tolist()  # texts with a token at this place
+        self.emit, self.move, self.first = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T), model.start[:, None]
+        self.width = BLOCK if len(self.flat) > HELD else max(steps, 1)
+        self.blocks = range(0, steps, self.width)
+
+    def block(self, t0: int):
+        """(classes, emissions, the places' bounds) of the block from place ``t0``."""
+        import numpy as np
+        t1 = min(t0 + self.width, len(self.live) - 1)
+        at = np.concatenate([[0], np.cumsum(self.live[t0:t1])])
+        n = np.minimum(self.size[:self.live[t0]], t1) - t0
+        text = np.repeat(np.arange(len(n)), n)
+        t = np.arange(at[-1]) - np.repeat(np.cumsum(n) - n, n)
+        classes = np.empty(at[-1], np.intp)
+        classes[at[t] + text] = self.flat[self.starts[text] + t0 + t]
+        return classes, self.emit.take(classes, axis=1, mode="clip"), at.tolist()
+
+    def forward(self, alpha, t0: int, e, at):
+        """Scaled forward probabilities of a block after ``alpha``, and per place the
+        divisors and the first text they hold for: all texts at every SCALED-th
+        place, else those that end.  ``e`` is divided alike."""
+        import numpy as np
+        out, scales = np.empty_like(e), []
+        for t, a, b in zip(range(t0, t0 + len(at)), at, at[1:]):
+            n, low = b - a, 0 if t % SCALED == SCALED - 1 else self.live[t + 1]
+            x, now = e[:, a:b], out[:, a:b]
+            if t:
+                np.matmul(self.move, alpha[:, :n], out=now)
+                now *= x
+            else:
+                np.multiply(self.first, x, out=now)
+            if low < n:
+                c = now[:, low:].sum(0)
+                now[:, low:] /= c
+                x[:, low:] /= c
+                scales.append((low, n, c))
+            alpha = now
+        return out, scales
 
 
 def likelihood(model: Model, seqs):
     """Natural log-probability of every class sequence: scaled forward
     recursion, one step for all texts that are long enough."""
     import numpy as np
-    flat, starts, size, order = _packed(seqs)
-    out, alpha = np.zeros(len(seqs)), None
-    live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
-    for t, n in enumerate(live):
-        e = model.emit[flat[starts[:n] + t]]
-        alpha = model.start * e if t == 0 else (alpha[:n] @ model.move) * e
-        c = alpha.sum(1)
-        alpha /= c[:, None]
-        out[:n] += np.log(c)
-    back = np.empty_like(out)
-    back[order] = out
+    texts = _Texts(model, seqs)
+    total, alpha = np.zeros(len(seqs)), None
+    for t0 in texts.blocks:
+        _, e, at = texts.block(t0)
+        alphas, scales = texts.forward(alpha, t0, e, at)
+        alpha = alphas[:, at[-2]:]
+        for low, n, c in scales:
+            total[low:n] += np.log(c)
+    back = np.empty_like(total)
+    back[texts.order] = total
     return back
 
 
 def expected(model: Model, seqs, into):
     """Adds the expected start, transition and emission counts of the sequences
-    and returns their log-probability.  The forward recursion is kept at every
-    BLOCK-th token and run again from there when the backward one arrives."""
+    and returns their log-probability.  The forward recursion is kept for the
+    backward one; of more than HELD tokens, at every BLOCK-th token only, and run
+    again from there when the backward one arrives."""
     import numpy as np
     start, move, emit = into
-    flat, starts, size, _ = _packed(seqs)
-    live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
-    alpha, states, borders, total = None, len(model.start), [], 0.0
-
-    def step(alpha, t, n):
-        o = flat[starts[:n] + t]
-        e = model.emit[o]
-        alpha = model.start * e if t == 0 else (alpha[:n] @ model.move) * e
-        c = alpha.sum(1, keepdims=True)
-        return alpha / c, o, e / c, c
-
-    for t, n in enumerate(live):
-        if t % BLOCK == 0:
-            borders.append(alpha)
-        alpha, _, _, c = step(alpha, t, n)
-        total += float(np.log(c).sum())
-    beta = np.ones((0, states))
-    for t0 in reversed(range(0, len(live), BLOCK)):
-        steps, before = live[t0:t0 + BLOCK], borders.pop()
-        alpha, alphas, outs = before, [], []
-        for t, n in enumerate(steps, t0):
-            alpha, o, e, _ = step(alpha, t, n)
-            alphas.append(alpha)
-            outs.append((o, e))
-        gammas = [None] * len(steps)
-        for i in range(len(steps) - 1, -1, -1):
-            n = steps[i]
-            if len(beta) < n:  # texts that end here
-                beta = np.concatenate([beta, np.ones((n - len(beta), states))])
-            gammas[i] = alphas[i] * beta
-            last = alphas[i - 1] if i else before
+    texts = _Texts(model, seqs)
+    states, total, borders = len(model.start), 0.0, [None]
+    for t0 in texts.blocks[:-1]:
+        _, e, at = texts.block(t0)
+        borders.append(texts.forward(borders[-1], t0, e, at)[0][:, at[-2]:].copy())
+    ahead, moved = np.ones((states, 0)), np.zeros((states, states))
+    for t0 in reversed(texts.blocks):
+        before = borders.pop()
+        classes, e, at = texts.block(t0)
+        gamma, scales = texts.forward(before, t0, e, at)
+        total += sum(float(np.log(c).sum()) for _, _, c in scales)
+        beta = np.ones_like(e)  # 1 where a text ends
+        for i in reversed(range(len(at) - 1)):
+            np.matmul(model.move, ahead, out=beta[:, at[i]:at[i] + ahead.shape[1]])
+            ahead = e[:, at[i]:at[i + 1]]
+            ahead *= beta[:, at[i]:at[i + 1]]
+        # places with the same texts lie end to end: their transitions are one product
+        live = np.diff(at)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(live)) + 1, [len(live)]]).tolist()
+        for i, k in zip(cuts, cuts[1:]):
+            a, b, n = at[i], at[k], at[i + 1] - at[i]
+            last = gamma[:, at[i - 1]:] if i else before
             if last is not None:
-                ahead = outs[i][1] * beta
-                move += model.move * (last[:n].T @ ahead)
-                beta = ahead @ model.move.T
+                moved += last[:, :n] @ e[:, a:a + n].T
+            moved += gamma[:, a:b - n] @ e[:, a + n:b].T
+        gamma *= beta
         if t0 == 0:
-            start += gammas[0].sum(0)
-        classes, gamma = np.concatenate([o for o, _ in outs]), np.concatenate(gammas)
+            start += gamma[:, :at[1]].sum(1)
         for s in range(states):
-            emit[:, s] += np.bincount(classes, weights=gamma[:, s], minlength=len(emit))
+            emit[:, s] += np.bincount(classes, weights=gamma[s], minlength=len(emit))
+    move += model.move * moved
     return total
 
 
-def _chunks(batches, column: int, tokens: int = 1_000_000):
-    """Class sequences in groups of about so many tokens."""
-    held, size = [], 0
-    for batch in batches:
-        for s in batch.column(column):
-            held.append(s.as_py())
-            size += len(held[-1]) // 2
+def _chunks(batches, column: int, tokens: int = CHUNK):
+    """Class sequences in groups of about so many tokens and of like lengths, as a
+    group takes as many steps as its longest has tokens."""
+    def cut(pool):
+        pool.sort(key=len)
+        held, size = [], 0
+        for s in pool:
+            held.append(s)
+            size += len(s) // 2
             if size >= tokens:
                 yield held
                 held, size = [], 0
-    if held:
-        yield held
+        if held:
+            yield held
+
+    pool, size = [], 0
+    for batch in batches:
+        for s in batch.column(column):
+            pool.append(s.as_py())
+            size += len(pool[-1]) // 2
+            if size >= POOL * tokens:
+                yield from cut(pool)
+                pool, size = [], 0
+    yield from cut(pool)
 
 
 def baum_welch(model: Model, sequences: DataFrame, class_tokens) -> tuple[Model, float]:

@@ -466,6 +466,37 @@ def test_expected_counts_equal_plain_forward_backward():
     assert all(np.allclose(a, b) for a, b in zip(into, (start, move, emit)))
 
 
+def test_texts_are_walked_in_lots_of_like_lengths(monkeypatch):
+    import pyarrow as pa
+
+    from kiln.llm import hmm
+    rng = np.random.default_rng(3)
+    seqs = [rng.integers(0, 30, 900 if i % 100 == 50 else int(rng.integers(1, 30))).astype("<u2").tobytes() for i in range(400)]
+    lots = list(hmm._chunks([pa.RecordBatch.from_arrays([pa.array(seqs, pa.binary())], names=["classes"])], 0, 1500))
+    assert sorted(s for lot in lots for s in lot) == sorted(seqs)
+    assert sum(max(map(len, lot)) // 2 for lot in lots) < 2 * 900 + 30 * len(lots)  # not 900 steps in every lot
+    tokens = np.bincount(np.frombuffer(b"".join(seqs), "<u2"), minlength=hmm.CLASSES).astype(float)
+    model = hmm.Model.initial(tokens, states=3)
+    found = []
+    for held in (hmm.HELD, 0):  # kept whole, and in blocks run again
+        monkeypatch.setattr(hmm, "HELD", held)
+        into = (np.zeros(3), np.zeros((3, 3)), np.zeros((hmm.CLASSES, 3)))
+        found.append((sum(hmm.expected(model, lot, into) for lot in lots), *into))
+        assert hmm.likelihood(model, seqs).sum() == pytest.approx(found[-1][0])
+    assert all(np.allclose(a, b) for a, b in zip(*found))
+
+
+def test_words_are_hashed_once_a_batch(monkeypatch):
+    import xxhash
+
+    from kiln.llm import hmm
+    plain, seen = xxhash.xxh3_64_intdigest, []
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda w: seen.append(w) or plain(w))
+    h, tail, at = hmm.words([b"One two ONE", None, b"two\tthree"])
+    assert seen == [b"one", b"two", b"three"] and [list(i) for i in at] == [[0, 1, 0], [], [1, 2]]
+    assert h.tolist() == [np.uint64(plain(w)).astype(np.int64) for w in seen] and len(tail) == 3
+
+
 def test_every_training_round_sees_every_document(llm, monkeypatch):
     from types import SimpleNamespace
 
