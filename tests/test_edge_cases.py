@@ -359,3 +359,49 @@ def test_prepared_rows_of_large_tables_are_reread_in_few_partitions(spark, small
     assert laid.columns == schema.names and q_models._feature_names(laid) == names
     assert laid.schema["label"].metadata == schema["label"].metadata
     assert sorted(map(str, laid.collect())) == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 40])
+def test_holdout_by_first_column_is_the_sorted_one(spark, n):
+    rows = [(None if i % 7 == 6 else i * i % 5, i % 3, i) for i in range(n)]
+    df = spark.createDataFrame(rows, "week int, customer int, product int")
+    order = ["week", "customer", "product"]
+    want = sorted(map(str, splits.ordered_holdout(df, order).collect()))
+    assert sorted(map(str, splits.ordered_holdout(df, order, by_first=True).collect())) == want
+
+
+def test_holdout_by_first_column_cuts_equal_rows(spark):
+    df = spark.createDataFrame([(1, "x")] * 25, "week int, k string")
+    got = splits.ordered_holdout(df, ["week", "k"], by_first=True).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"train": 17, "val": 5, "test": 3}
+
+
+def test_laid_out_rows_leave_no_shuffle_files(spark):
+    from kiln.session import laid_out
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    rows = laid_out(spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count(), "test")
+    assert not shuffles() - before
+    assert sorted(map(tuple, rows.collect())) == [(i, 143 if i < 6 else 142) for i in range(7)]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_greedy_rule_makes_its_rows_once(spark, small_dir):
+    from kiln.plans import q_models
+    assert all("rule-rows" in f for f in q_models.n9_greedy_rule(spark, small_dir).inputFiles())
+
+
+def test_split_of_large_tables_sorts_the_cut_weeks_only(spark, small_dir, monkeypatch):
+    from kiln.operators import splits as ops
+    from kiln.plans import q_models
+    want = sorted(map(str, q_models.priority_split(spark, small_dir).collect()))
+    sorted_rows = []
+    plain = ops.global_row_number
+    monkeypatch.setattr(ops, "global_row_number", lambda df, *a, **k: (sorted_rows.append(df.count()), plain(df, *a, **k))[1])
+    monkeypatch.setattr(q_models, "LAID_OUT_FROM", 0)
+    laid = q_models.priority_split(spark, small_dir)
+    assert sorted(map(str, laid.collect())) == want
+    assert sum(sorted_rows) < len(want) / 10
