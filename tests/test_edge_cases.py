@@ -405,3 +405,23 @@ def test_split_of_large_tables_sorts_the_cut_weeks_only(spark, small_dir, monkey
     laid = q_models.priority_split(spark, small_dir)
     assert sorted(map(str, laid.collect())) == want
     assert sum(sorted_rows) < len(want) / 10
+
+
+def test_fitted_features_encode_ids_before_vectors_are_made(spark):
+    """Fits do not read through the id joins, and the joins do not carry the vectors."""
+    from kiln.operators.pipeline import DistributedIdEncoderModel, feature_pipeline
+    df = spark.createDataFrame([(1, 2.0, "a"), (2, 3.0, "b"), (3, 5.0, "b")], "customer long, x double, c string")
+    fitted = feature_pipeline(["x"], ["c"], ["customer"]).fit(df)
+    assert isinstance(fitted.stages[0], DistributedIdEncoderModel)
+    assert [list(r.features.toArray().round(6)) for r in fitted.transform(df).orderBy("customer").collect()] == [
+        [-1.069045, 0.0, 0.0], [-0.267261, 1.0, 1.0], [1.336306, 1.0, 2.0]]
+
+
+def test_spread_settings_hold_inside_only(spark):
+    from kiln.session import TASKS_PER_CORE, spread
+    key = "spark.sql.files.minPartitionNum"
+    with spread(spark):
+        assert int(spark.conf.get(key)) == TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key, None) is None
+    with spread(spark, on=False):
+        assert spark.conf.get(key, None) is None
