@@ -48,6 +48,25 @@ def test_equals_plain_least_squares(spark, monkeypatch, chunk):
     assert all(np.allclose(r.w, items[r.id], atol=1e-8) for r in got.items.collect())
 
 
+@pytest.mark.parametrize("few", [0, 8192])
+def test_half_step_shuffles_sums_or_ratings_without_vectors(spark, monkeypatch, few):
+    """With many rows on both sides, sums of a batch stand for its ratings; otherwise the
+    vectors are met where the ratings were dealt to.  Both are plain least squares."""
+    monkeypatch.setattr(factorise, "FEW", few)
+    rows = ratings(40, 6)
+    df = spark.createDataFrame(rows, "u long, i string, r double").repartition(2)
+    starts = {r.i: list(r.w) for r in df.select("i").distinct().withColumn("w", factorise.start(F.col("i"), 2)).collect()}
+    _, users, items = plain(rows, starts, 0.05, 2)
+    got = factorise.biased_factors(df, "u", "i", "r", rank=2, reg=0.05, rounds=2)
+    assert all(np.allclose(r.w, users[r.id], atol=1e-8) for r in got.users.collect())
+    assert all(np.allclose(r.w, items[r.id], atol=1e-8) for r in got.items.collect())
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"id": ["a"] * 9 + ["b"], "c": [0] * 10, "n": [1] * 10, "v": [[1.0, float(k), 2.0] for k in range(10)]})
+    out = pa.Table.from_batches(factorise._combined([batch], 2)).to_pylist()
+    assert [(r["id"], len(r["v"])) for r in out] == [("b", 3), ("a", 7)]
+    assert out[1]["v"] == list(factorise.products(np.array([[1.0, k] for k in range(9)]), np.full(9, 2.0)))
+
+
 def test_beats_the_mean_and_handles_the_unknown(spark):
     rows = ratings(60, 40, 3)
     df = spark.createDataFrame(rows, "u long, i string, r double").withColumn("b", F.pmod(F.xxhash64("u", "i"), F.lit(4)))
